@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import loglines, skew
 from ..session import table
+from . import tasks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,15 +30,16 @@ def p5_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_repo_results(spark, folder)
+    return tasks.transition_report(spark, folder)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_repo_results, p5_found, p5_entries)}
+    own = (p2_found, p2_repo_results, p5_found, p5_entries)
+    return {f.__name__: f for f in (*own, *tasks.QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return tasks.SQL | {
         "p2_found": """
             SELECT repo FROM task_instances WHERE repo IS NOT NULL GROUP BY repo
             HAVING count(*) * 20 > (SELECT count(*) FROM task_instances)
