@@ -545,6 +545,16 @@ SQL = {
         f"CASE WHEN {_contains_any("lower(coalesce(problem_statement, ''))", sorted({w, w.replace("_", " ")}))} THEN {p} ELSE 0 END"
         for w, p in scores.COMPLEXITY_WORDS.items())}, 15) + CASE WHEN coalesce(len(FAIL_TO_PASS), 0) >= 5 THEN 2 ELSE 0 END)::INT AS score FROM task_instances)
         SELECT row_id, score, CASE WHEN score >= 20 THEN 'expert' WHEN score >= 10 THEN 'hard' WHEN score >= 5 THEN 'medium' ELSE 'simple' END AS level FROM s""",
+    "trimmed_reports": f"""WITH {_TRANSITIONS}, once AS (SELECT instance_id, min(row_id) AS row_id FROM task_instances GROUP BY 1),
+        lists AS (SELECT t.instance_id, unnest(t.FAIL_TO_PASS) AS test, 'f' AS g FROM task_instances t JOIN once USING (row_id)
+                  UNION ALL SELECT t.instance_id, unnest(t.PASS_TO_PASS), 'p' FROM task_instances t JOIN once USING (row_id)),
+        bad AS (SELECT l.instance_id, l.g, l.test FROM lists l LEFT JOIN last s ON s.instance_id = l.instance_id AND s.test = l.test AND s.run = 'buggy'
+                WHERE s.status IS NULL OR s.status IN ('FAILED', 'ERROR')),
+        drops AS (SELECT o.instance_id, coalesce(list(b.test) FILTER (b.g = 'f'), {_NONE}) AS f, coalesce(list(b.test) FILTER (b.g = 'p'), {_NONE}) AS p
+                  FROM once o LEFT JOIN bad b USING (instance_id) GROUP BY 1)
+        SELECT r.instance_id, list_filter(FAIL_TO_PASS, lambda x: NOT list_contains(d.f, x)) AS FAIL_TO_PASS,
+               list_filter(PASS_TO_PASS, lambda x: NOT list_contains(d.p, x)) AS PASS_TO_PASS
+        FROM reports r JOIN drops d ON r.instance_id = d.instance_id""",
     "capped_predictions": f"""SELECT instance_id, model_name_or_path FROM (SELECT *, row_number() OVER (PARTITION BY instance_id
         ORDER BY {_HASH.format(24, "instance_id, model_name_or_path")}) AS r FROM (SELECT DISTINCT instance_id, model_name_or_path FROM predictions)) WHERE r = 1""",
     "diverse_selection": f"""WITH r AS (SELECT row_id, repo, {_HASH.format(42, "row_id")} AS h, row_number() OVER (PARTITION BY repo ORDER BY {_HASH.format(42, "row_id")}, row_id) AS n
@@ -586,6 +596,8 @@ SQL = {
         FROM (SELECT *, row_number() OVER (PARTITION BY instance_id ORDER BY collected_at DESC NULLS LAST, row_id DESC) AS r FROM task_instances) WHERE r = 1""",
 }
 
+SQL["complexity_levels"] = f"SELECT level, count(*) AS n FROM ({SQL['pr_complexity']}) GROUP BY 1"
+
 QUERIES = (
     status_last_wins, transition_report, validation_outcomes, gather_tasks, eval_grading, eval_summary, trimmed_reports,
     baseline_gate, predictions_todo, prediction_instances, gold_predictions, validated_predictions, difficulty_left_join,
