@@ -28,6 +28,7 @@ _QUOTE = re.compile(r'(?<![\w>])"[^"\n]+"(?!\w)|“[^”\n]+”|„[^“\n]+“'
 _QUOTED_LINE = re.compile(r"^[ \t]*>.*$", re.M)
 _RECORD_LINE = re.compile(r"^[ \t]*[{<\[].*$", re.M)
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?…](?=\s)|(?=\n)|\Z)|\n+")
+_ANCHOR = re.compile(r"[\[<(\])>]|\b(?:tbd|todo)\b")  #: where a slot known by its words starts or ends
 _RUNS = re.compile(r"[A-Z]+|[^\W\d_A-Z]+|\d+")
 
 
@@ -38,7 +39,7 @@ class Settings:
     backoff: share of a model's mass spread over all buckets. window: n-grams of a window.
     ratio: mean log ratio of a residue window. coverage: share of a sentence that windows must cover.
     slot: summed log ratio of a slot, over slot_window shape n-grams.
-    worded: the same of a slot known by its words, over as many letter n-grams."""
+    worded: the same of a slot known by its words, at best over as many letter n-grams from its start or end."""
 
     n: int = 5
     shape_n: int = 4
@@ -50,7 +51,7 @@ class Settings:
     coverage: float = 0.6
     slot: float = 12.0
     slot_window: int = 6
-    worded: float = 21.0
+    worded: float = 12.0
 
 
 def masked(text: str) -> str:
@@ -146,14 +147,20 @@ class Models:
         """(start, end, kind, score) of residue in the masked text, sentence by sentence."""
         s, body = self.s, masked(text)
         found: list[tuple[int, int, str, float]] = []
-        gram = grams(letters(body), s.n, s.bits)
+        lower = letters(body)
+        gram = grams(lower, s.n, s.bits)
         cover = {k: _windows(self.ratios[k][gram], s.window, s.ratio) for k in ("filler", "notice")}
         formed, places = shape(body)
         ratio = self.slots[grams(formed, s.shape_n, s.bits)]
         best = _sums(ratio, s.slot_window)
         slot_at = {places[min(max(i, 0), len(places) - 1)] for i in np.flatnonzero(best >= s.slot)} if places else set()
-        told = _sums(self.ratios["worded"][gram], s.slot_window)
-        slot_at.update(int(i) - 1 for i in np.flatnonzero(told >= s.worded))
+        worded = np.maximum(self.ratios["worded"][gram], -4.0)
+        told = {}
+        for a in _ANCHOR.finditer(lower):  # forward from what opens a slot, backward from what closes it
+            i, w = a.start() + 1, s.slot_window
+            run = worded[max(0, i - s.n + 1 - w) : i - s.n + 2][::-1] if a[0] in "])>" else worded[i : i + w]
+            told[a.start()] = float(np.cumsum(run).max()) if len(run) else 0.0
+        slot_at.update(a for a, v in told.items() if v >= s.worded)
         for m in _SENTENCE.finditer(body):
             part = body[m.start() : m.end()]
             size = sum(c.isalnum() or c in "._-{}<>%@[]" for c in part.replace(_MASK, ""))
@@ -161,7 +168,7 @@ class Models:
                 continue
             marked = [i for i in range(m.start(), m.end()) if i in slot_at]
             if marked:
-                found.append((m.start(), m.end(), "slot", float(max(best.max(), told.max()))))
+                found.append((m.start(), m.end(), "slot", float(max([best.max(), *told.values()]))))
                 continue
             for kind, on in cover.items():
                 share = float(on[m.start() + 1 : m.end() + 1].mean()) if m.end() > m.start() else 0.0
