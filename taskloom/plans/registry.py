@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import loglines, skew
-from ..session import table
+from ..session import spread, table
 from . import tasks, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,12 +21,12 @@ def p2_repo_results(spark: SparkSession, folder: str) -> DataFrame:
     return skew.repo_results(table(spark, folder, "task_instances"))
 
 
-def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    return loglines.log_entries(table(spark, folder, "run_outputs")).drop("message")
+def p5_entries(spark: SparkSession, folder: str) -> DataFrame:
+    return loglines.log_entries(spread(table(spark, folder, "run_outputs").select("output_id", "output", "captured_at")))
 
 
-def p5_entries(spark: SparkSession, folder: str) -> DataFrame:
-    return loglines.log_entries(table(spark, folder, "run_outputs"))
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_entries(spark, folder).drop("message")
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

@@ -62,3 +62,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the cluster has cores, dealt out to all of them, for work that costs
+    far more than moving its input. Larger inputs have more partitions and pass as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
