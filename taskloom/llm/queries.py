@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import canon, encode, leaks, pack, residue, splits
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def _statements(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "task_instances").select("row_id", "problem_statement"))
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return splits.same_project_pairs(table(spark, folder, "task_instances"), table(spark, folder, "profiles"))
 
@@ -25,37 +33,36 @@ def p1_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaked_pairs(table(spark, folder, "documents"), table(spark, folder, "eval_instances"))
+    return leaks.leaked_pairs(_texts(spark, folder), table(spark, folder, "eval_instances"))
 
 
 def p3_leaks(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_instances"))
+    return leaks.leaked_items(_texts(spark, folder), table(spark, folder, "eval_instances"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return residue.residue(table(spark, folder, "task_instances")).select("row_id")
+    return residue.residue(_statements(spark, folder)).select("row_id")
 
 
 def p4_passages(spark: SparkSession, folder: str) -> DataFrame:
-    found = residue.residue(table(spark, folder, "task_instances"))
+    found = residue.residue(_statements(spark, folder))
     return found.select("row_id", F.round("coverage", 6).alias("coverage"), "kinds", "passages")
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode.encode_documents(table(spark, folder, "documents"))
+    return encode.encode_documents(_texts(spark, folder))
 
 
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
-    return pack.pack_documents(table(spark, folder, "documents"))
+    return pack.pack_documents(_texts(spark, folder))
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    return canon.look_alike_pairs(table(spark, folder, "documents"))
+    return canon.look_alike_pairs(_texts(spark, folder))
 
 
 def p8_text(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    return canon.consistent_documents(documents)
+    return canon.consistent_documents(_texts(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
