@@ -111,3 +111,10 @@ def hotspots(functions: DataFrame, edges: DataFrame, top: int) -> DataFrame:
     )
     scored = functions.join(callers, "func_key", "left").select("func_key", "name", score.cast("bigint").alias("score"))
     return scored.orderBy(F.desc("score"), "func_key").limit(top)
+
+
+def connected_files(edges: DataFrame, functions: DataFrame, start: DataFrame, hops: int) -> DataFrame:
+    """(file_path): files of what ``start`` (node) reaches in ``hops`` steps, without the start's own files."""
+    of = functions.select(F.col("func_key").alias("node"), "file_path")
+    found = reach(edges, start, hops).join(of, "node").select("file_path").distinct()
+    return found.join(start.join(of, "node").select("file_path").distinct(), "file_path", "left_anti")

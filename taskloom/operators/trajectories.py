@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import prepare
+from .windows import cap_per_key, shuffled
 
 MESSAGES = "array<struct<role:string,content:string>>"
 #: Answers that end a run early, and parameters whose values stand on lines of their own.
@@ -137,3 +138,11 @@ def rating_messages(statement: Column, patch: Column, label: Column, system: str
     one = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
     body = F.concat(F.lit("<issue>\n"), statement, F.lit("\n</issue>\n<patch>\n"), patch, F.lit("\n</patch>"))
     return F.array(one("system", F.lit(system)), one("user", body), one("assistant", label))
+
+
+def training_set(tables: list[DataFrame], most: int = 3, seed: int = 24, key: str = "instance_id", id_col: str = "traj_id") -> DataFrame:
+    """Several collections as one: at most ``most`` rows of each instance, in hash order, sorted by that order."""
+    rows = tables[0]
+    for t in tables[1:]:
+        rows = rows.unionByName(t, allowMissingColumns=True)
+    return shuffled(cap_per_key(rows, key, most, seed, [id_col]), seed, [id_col])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import aggregates, diffs, entities, graph, joins, scores, status, testlogs, trajectories, windows
+from ..operators import aggregates, combine, diffs, entities, graph, joins, scores, semantics, status, testlogs, trajectories, windows
 from ..session import table
 
 T = table
@@ -200,7 +200,67 @@ def mutated_entities(spark: SparkSession, folder: str) -> DataFrame:
     return entities.mutations(rows, ["doc_id"], "text", F.lit("py"), seed=24)
 
 
+def semantic_changes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = semantics.semantic_changes(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    return rows.groupBy("language", "kind", "change", "meaning").agg(F.count(F.lit(1)).alias("n"))
+
+
+def change_reports(spark: SparkSession, folder: str) -> DataFrame:
+    rows = semantics.semantic_changes(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    return semantics.change_report(rows, ["row_id"])
+
+
+def patch_languages(spark: SparkSession, folder: str) -> DataFrame:
+    hunks = diffs.patch_hunks(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    return hunks.select("row_id", semantics.language(F.col("new_path")).alias("language")).groupBy("language").agg(
+        F.count(F.lit(1)).alias("n_hunks"), F.countDistinct("row_id").alias("n_patches")
+    )
+
+
+def patch_problems(spark: SparkSession, folder: str) -> DataFrame:
+    rows = T(spark, folder, "predictions").select(semantics.patch_problem(F.col("model_patch")).alias("problem"))
+    return rows.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+def test_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    tests = T(spark, folder, "test_status").select("test").where("test like '%::%'").distinct()
+    return tests.select("test", semantics.test_node(F.col("test")).alias("t")).select("test", "t.file", "t.class_name", "t.name")
+
+
+def static_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """Statements from a template: the files, the functions and a failing test of each instance."""
+    rows = T(spark, folder, "task_instances").where("patch <> ''")
+    lines = diffs.patch_lines(rows.select("row_id", "patch"), ["row_id"])
+    parts = lines.groupBy("row_id").agg(
+        F.array_sort(F.collect_set("new_path")).alias("files"),
+        F.array_sort(F.collect_set(F.when(F.col("section") != "", F.col("section")))).alias("functions"),
+    )
+    text = semantics.render("Files:\n{files}\nFunctions:\n{functions}\nTest: {test}", {
+        "files": semantics.bullet_list(F.col("files")), "functions": semantics.bullet_list(F.col("functions")),
+        "test": F.array_min("FAIL_TO_PASS"),
+    })
+    return rows.join(parts, "row_id").select("row_id", F.md5(text).alias("statement"))
+
+
+def combined_patches(spark: SparkSession, folder: str) -> DataFrame:
+    rows = T(spark, folder, "task_instances").where("patch <> ''")
+    named = rows.select(scalar.repo_part(F.col("instance_id")).alias("repo_key"), F.format_string("%09d", F.col("row_id")).alias("name"), "patch")
+    out = combine.combined(named, "repo_key", 2, most=5, tries=200, files=2)
+    return out.select("repo_key", "members", F.md5("patch").alias("patch"))
+
+
 SQL = {
+    "patch_languages": r"""
+        WITH raw AS (SELECT row_id, unnest(string_split(patch, chr(10))) AS line, generate_subscripts(string_split(patch, chr(10)), 1) AS n
+                     FROM task_instances WHERE patch <> ''),
+        f AS (SELECT *, last_value(CASE WHEN starts_with(line, 'diff --git a/') THEN regexp_extract(line, '[.]([^./]+)$', 1) END IGNORE NULLS)
+                     OVER (PARTITION BY row_id ORDER BY n ROWS UNBOUNDED PRECEDING) AS ext FROM raw)
+        SELECT CASE lower(ext) WHEN 'py' THEN 'python' WHEN 'rs' THEN 'rust' WHEN 'js' THEN 'javascript' WHEN 'ts' THEN 'typescript' WHEN 'rb' THEN 'ruby'
+                    WHEN 'go' THEN 'go' WHEN 'java' THEN 'java' WHEN 'cpp' THEN 'cpp' WHEN 'c' THEN 'c' WHEN 'php' THEN 'php' ELSE 'general' END AS language,
+               count(*) AS n_hunks, count(DISTINCT row_id) AS n_patches FROM f WHERE starts_with(line, '@@ -') GROUP BY 1""",
+    "test_nodes": r"""
+        WITH t AS (SELECT DISTINCT test, string_split(regexp_replace(test, '\[.*$', ''), '::') AS p FROM test_status WHERE contains(test, '::'))
+        SELECT test, p[1] AS file, CASE WHEN len(p) > 2 THEN p[2] END AS class_name, p[-1] AS name FROM t""",
     "log_parse_pytest": r"""
         WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
                    FROM documents WHERE kind = 'log'),
@@ -255,5 +315,6 @@ QUERIES = (
     log_parse_pytest, log_status_counts, output_test_rows, marked_outputs, issue_references, code_blocks, shortened_texts,
     line_contexts, section_lines, transcript_rows, transcript_texts, training_rows, rating_rows, call_edges, call_reach,
     call_hotspots, call_components, file_dependencies, name_index, name_sets, patch_similarity, test_files,
-    source_entities, modifier_candidates, mutated_entities,
+    source_entities, modifier_candidates, mutated_entities, semantic_changes, change_reports, patch_languages, patch_problems,
+    test_nodes, static_statements, combined_patches,
 )

@@ -55,3 +55,11 @@ def test_training_rows(spark):
     r = spark.createDataFrame([("a", True), ("b", None)], "instance_id string, resolved boolean")
     p = spark.createDataFrame([("a", "diff")], "instance_id string, model_patch string")
     assert sorted(tuple(x) for x in trajectories.training_rows(m, r, p).collect()) == [("a", 1, True, "diff"), ("b", 2, False, "")]
+
+
+def test_training_set(spark):
+    a = spark.createDataFrame([("i", f"t{n}") for n in range(5)], "instance_id string, traj_id string")
+    b = spark.createDataFrame([("j", "u1", True)], "instance_id string, traj_id string, resolved boolean")
+    got = [(r.instance_id, r.traj_id) for r in trajectories.training_set([a, b], most=3).collect()]
+    assert len(got) == 4 and ("j", "u1") in got
+    assert got == [(r.instance_id, r.traj_id) for r in trajectories.training_set([b, a.repartition(3)], most=3).collect()]

@@ -43,6 +43,7 @@ def test_call_graph(spark):
     deps = {r.file_path: (r.calls, r.called_by) for r in graph.file_dependencies(e, f).collect()}
     assert deps == {"x.rs": (["y.rs"], []), "y.rs": (["z.rs"], ["x.rs"]), "z.rs": ([], ["y.rs"])}
     assert [(r.func_key, r.score) for r in graph.hotspots(f, e, 2).collect()] == [("f1", 8), ("f2", 3)]
+    assert {r[0] for r in graph.connected_files(e, f, start, 5).collect()} == {"y.rs", "z.rs"}
     i = spark.createDataFrame([("m.rs", "crate::net::io"), ("m.rs", "io")], "file_path string, module string")
     files = spark.createDataFrame([("src/io.rs",), ("io/x.rs",), ("m.rs",)], "file_path string")
     assert {tuple(r) for r in graph.import_edges(i, files).collect()} == {("m.rs", "src/io.rs"), ("m.rs", "io/x.rs")}
