@@ -191,13 +191,14 @@ class Index:
         both = np.unique(np.concatenate(found))
         return both // len(self.windows), both % len(self.windows)
 
-    def matches(self, texts: list[list[str]], block: int = 200_000) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, least edits, windows of the text): every verified pair of a text and an item."""
+    def matches(self, texts: list[np.ndarray], block: int = 200_000) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, least edits, windows of the text): every verified pair of a text, given by the codes of its
+        words, and an item."""
         k, most = self.walks.window, self.walks.edits
         if not len(self.windows):
             return
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        codes = word_codes([w for t in texts for w in t])
+        codes = np.concatenate([np.zeros(0, dtype=np.uint64), *texts])
         begins = np.cumsum(sizes) - sizes
         starts = np.concatenate([np.zeros(0, np.int64), *(b + np.arange(n - k + 1) for b, n in zip(begins, sizes, strict=True) if n >= k)])
         hits = []
@@ -266,7 +267,7 @@ def leaked_items(
             index = shared.value
             for batch in batches:
                 ids = batch["id"].tolist()
-                found = list(index.matches([words(t) for t in batch["text"]]))
+                found = list(index.matches([word_codes(words(t)) for t in batch["text"]]))
                 yield pd.DataFrame(
                     [(ids[t], index.names[i], e, n) for t, i, e, n in found],
                     columns=["id", "item", "edits", "windows"],

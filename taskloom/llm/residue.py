@@ -1,7 +1,7 @@
 """Statements that hold unfilled templates, filler, error texts or notices instead of real content.
 
 Character n-gram models of slots (over shapes), filler and notices are fitted on labelled phrases,
-and one of natural prose on every statement. A position's score is the log likelihood ratio of its
+and one of natural prose on every distinct statement. A position's score is the log likelihood ratio of its
 n-gram under a residue model and under prose; windows with a high mean localise residue. A sentence
 or line covered by such windows is residue; a slot is residue wherever it stands. Code and quotations are
 masked before: a report that shows such text is no case.
@@ -100,7 +100,8 @@ def _streams(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prose_counts(statements: DataFrame, text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """n-gram counts of every statement (letters, shapes): at most 2 * 2**bits rows reach the driver."""
+    """n-gram counts of every distinct statement (letters, shapes): copies count once, so that a text which
+    fills a third of the table isn't taken for prose. At most 2 * 2**bits rows reach the driver."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((2, 1 << s.bits), dtype=np.int64)
@@ -112,7 +113,8 @@ def prose_counts(statements: DataFrame, text: str, s: Settings) -> tuple[np.ndar
             bucket = np.flatnonzero(total[k])
             yield pd.DataFrame({"kind": np.int32(k), "bucket": bucket.astype(np.int32), "n": total[k][bucket]})
 
-    rows = statements.select(F.col(text).alias("t")).where("t <> ''").mapInPandas(count, "kind int, bucket int, n bigint")
+    texts = statements.select(F.col(text).alias("t")).where("t <> ''").distinct()
+    rows = texts.mapInPandas(count, "kind int, bucket int, n bigint")
     found = rows.groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros((2, 1 << s.bits), dtype=np.int64)
     out[found["kind"].to_numpy(np.int64), found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)

@@ -74,7 +74,7 @@ def test_recall_of_edited_windows():
             else:
                 doc = [*doc[:at], *doc[at + 1 :], "other"]
             index = leaks.Index(walks, [("i", [leaks.word_codes(item)])])
-            found = list(index.matches([doc]))
+            found = list(index.matches([leaks.word_codes(doc)]))
             near = leaks.edit_distances(leaks.word_codes(doc)[None], leaks.word_codes(item)[None], 1)[0] <= 1
             n += near
             hit += near and bool(found)

@@ -56,6 +56,12 @@ def test_cases_are_found_and_reports_kept(spark):
     assert residue.residue(t.limit(0)).collect() == []
 
 
+def test_a_hot_case_is_no_prose(spark):
+    rows = [(i, s) for i, s, _ in statements()] + [(10_000 + i, CASES[7]) for i in range(400)]
+    t = spark.createDataFrame(rows, "row_id bigint, problem_statement string")
+    assert residue.residue(t).where("row_id >= 10000").count() == 400
+
+
 def test_coverage_tells_whole_from_part(spark):
     rows = [(i, s) for i, s, _ in statements()]
     t = spark.createDataFrame(rows, "row_id bigint, problem_statement string")
