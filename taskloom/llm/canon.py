@@ -163,12 +163,15 @@ def consistent(text: str | None) -> str | None:
     return "".join(out)
 
 
+@lru_cache(maxsize=65536)
+def _bare(run: str) -> str:
+    return ud.normalize("NFC", ud.normalize("NFD", _transduce(run)).translate(_TRANSLATE["latin"]))
+
+
 def skeleton(text: str) -> str:
     """The consistent form with every look-alike as its Latin letter: for comparisons of passages
     that stand among words of any alphabet."""
-    if text.isascii():
-        return text
-    return ud.normalize("NFC", ud.normalize("NFD", _unify(text)).translate(_TRANSLATE["latin"]))
+    return text if text.isascii() else _RUN.sub(lambda m: _bare(m[0]), text)
 
 
 def consistent_text(text: Column) -> Column:

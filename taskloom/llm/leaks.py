@@ -30,12 +30,16 @@ from ..session import cut, prepare
 from .canon import skeleton
 
 _WORDS = re.compile(r"[^\W_]+")
+_GAPS = {i: " " for i in range(128) if not chr(i).isalnum()}
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
     """Case-folded words of the consistent form; whatever stands between them is ignored."""
-    return _WORDS.findall(skeleton(text).casefold()) if text else []
+    if not text:
+        return []
+    plain = skeleton(text)
+    return plain.lower().translate(_GAPS).split() if plain.isascii() else _WORDS.findall(plain.casefold())
 
 
 def word_codes(found: list[str]) -> np.ndarray:
