@@ -91,19 +91,20 @@ class Walks:
         Bit ``step`` of a word's 64-bit hash decides whether the walk moves on after that step.
         """
         sampled, salt = self.plan(repetition)
-        padded = np.append(codes, np.uint64(0))
-        bits = _mixed(padded * salt)
+        padded = np.append(codes, np.zeros(self.steps, dtype=np.uint64))  # a walk never runs off the end
+        bits, picked = _mixed(padded * salt), set(sampled.tolist())
         at, end = starts.astype(np.int64), starts.astype(np.int64) + self.window
         out = np.full(len(starts), repetition + 1, dtype=np.uint64)
-        picked, stop = set(sampled.tolist()), len(codes)
         for step in range(int(sampled[-1]) + 1):
-            here = np.minimum(at, stop) if step >= self.window else at
             if step in picked:
-                word = padded[here]
+                word = padded[at]
                 if step >= self.window:
                     word = np.where(at < end, word, np.uint64(0))
                 out = _mixed(out * _MIX + word)
-            at = at + ((bits[here] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
+            move = bits[at]
+            move >>= np.uint64(step)
+            move &= np.uint64(1)
+            at += move.view(np.int64)
         return out
 
 
