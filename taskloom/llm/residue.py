@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..session import prepare
 from .residue_seeds import samples
 
-_MASK = "￼"  #: stands for a piece of code or a quotation
+_MASK = "\x1a"  #: stands for a piece of code or a quotation; texts that hold it get a space instead
 _FENCE = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1[ \t]*$|\Z)", re.S | re.M)
 _CODE = re.compile(r"``[^\n]+?``|`[^`\n]+`")
 _QUOTE = re.compile(r'(?<![\w>])"[^"\n]+"(?!\w)|“[^”\n]+”|„[^“\n]+“')
@@ -30,6 +30,10 @@ _RECORD_LINE = re.compile(r"^[ \t]*[{<\[].*$", re.M)
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?…](?=\s)|(?=\n)|\Z)|\n+")
 _ANCHOR = re.compile(r"[\[<(\])>]|\b(?:tbd|todo)\b")  #: where a slot known by its words starts or ends
 _RUNS = re.compile(r"[A-Z]+|[^\W\d_A-Z]+|\d+")
+_CLASSES = {i: "9" if chr(i).isdigit() else "A" if chr(i).isupper() else "a" for i in range(128) if chr(i).isalnum()}
+_REPEATS = re.compile(r"([aA9])\1+")
+_DIGIT = re.compile(r"\d")
+_SOLID = re.compile(r"[^\W_]|[._\-{}<>%@\[\]]")
 
 
 @dataclass(frozen=True)
@@ -56,7 +60,7 @@ class Settings:
 
 def masked(text: str) -> str:
     """The text with code and quotations replaced by a mark; lines that are records keep their quotes."""
-    text = _FENCE.sub(_MASK, text.replace("\r\n", "\n"))
+    text = _FENCE.sub(_MASK, text.replace("\r\n", "\n").replace(_MASK, " "))
     text = _CODE.sub(_MASK, text)
     text = _QUOTED_LINE.sub(_MASK, text)
     return "\n".join(line if _RECORD_LINE.match(line) else _QUOTE.sub(_MASK, line) for line in text.split("\n"))
@@ -64,22 +68,30 @@ def masked(text: str) -> str:
 
 def letters(text: str) -> str:
     """What the letter models read: lower case (so that lengths stay), digits as 9."""
-    lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text) if not text.isascii() else text.lower()
-    return re.sub(r"\d", "9", lower)
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    return _DIGIT.sub("9", lower)
 
 
-def shape(text: str) -> tuple[str, list[int]]:
-    """Letter runs as a or A, digit runs as 9, and for each shape character its place in the text."""
-    out, places, at = [], [], 0
+def shape(text: str) -> str:
+    """Letter runs as a or A, digit runs as 9."""
+    classes = text.translate(_CLASSES) if text.isascii() else _RUNS.sub(_class, text)
+    return _REPEATS.sub(r"\1", classes)
+
+
+def _class(m: re.Match) -> str:
+    return "9" if m[0].isdigit() else "A" if m[0].isupper() else "a"
+
+
+def shape_places(text: str) -> list[int]:
+    """For each character of the shape, its place in the text."""
+    out, at = [], 0
     for m in _RUNS.finditer(text):
-        out.append(text[at : m.start()])
-        places.extend(range(at, m.start()))
-        out.append("9" if m[0].isdigit() else "A" if m[0].isupper() else "a")
-        places.append(m.start())
+        out.extend(range(at, m.start()))
+        out.append(m.start())
         at = m.end()
-    out.append(text[at:])
-    places.extend(range(at, len(text)))
-    return "".join(out), places
+    return [*out, *range(at, len(text))]
 
 
 def grams(text: str, n: int, bits: int) -> np.ndarray:
@@ -96,7 +108,7 @@ def grams(text: str, n: int, bits: int) -> np.ndarray:
 
 def _streams(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     body = masked(text)
-    return grams(letters(body), s.n, s.bits), grams(shape(body)[0], s.shape_n, s.bits)
+    return grams(letters(body), s.n, s.bits), grams(shape(body), s.shape_n, s.bits)
 
 
 def prose_counts(statements: DataFrame, text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +154,7 @@ class Models:
             k: (log(of([letters(t) for t in samples(k, s.each)], s.n)) - natural).astype(np.float32)
             for k in ("filler", "notice", "worded")
         }
-        slots = of([shape(t)[0] for t in samples("slot", s.each)], s.shape_n)
+        slots = of([shape(t) for t in samples("slot", s.each)], s.shape_n)
         self.slots = (log(slots) - shapes).astype(np.float32)
 
     def spans(self, text: str) -> list[tuple[int, int, str, float]]:
@@ -152,10 +164,11 @@ class Models:
         lower = letters(body)
         gram = grams(lower, s.n, s.bits)
         cover = {k: _windows(self.ratios[k][gram], s.window, s.ratio) for k in ("filler", "notice")}
-        formed, places = shape(body)
-        ratio = self.slots[grams(formed, s.shape_n, s.bits)]
+        ratio = self.slots[grams(shape(body), s.shape_n, s.bits)]
         best = _sums(ratio, s.slot_window)
-        slot_at = {places[min(max(i, 0), len(places) - 1)] for i in np.flatnonzero(best >= s.slot)} if places else set()
+        slot_at = set()
+        if best.max(initial=0.0) >= s.slot and (places := shape_places(body)):
+            slot_at = {places[min(i, len(places) - 1)] for i in np.flatnonzero(best >= s.slot)}
         worded = np.maximum(self.ratios["worded"][gram], -4.0)
         told = {}
         for a in _ANCHOR.finditer(lower):  # forward from what opens a slot, backward from what closes it
@@ -165,11 +178,9 @@ class Models:
         slot_at.update(a for a, v in told.items() if v >= s.worded)
         for m in _SENTENCE.finditer(body):
             part = body[m.start() : m.end()]
-            size = sum(c.isalnum() or c in "._-{}<>%@[]" for c in part.replace(_MASK, ""))
-            if not part.strip() or not size:
+            if not _SOLID.search(part):
                 continue
-            marked = [i for i in range(m.start(), m.end()) if i in slot_at]
-            if marked:
+            if slot_at and any(m.start() <= i < m.end() for i in slot_at):
                 found.append((m.start(), m.end(), "slot", float(max([best.max(), *told.values()]))))
                 continue
             for kind, on in cover.items():

@@ -72,9 +72,11 @@ def test_coverage_tells_whole_from_part(spark):
 
 
 def test_masks_keep_offsets_of_plain_text():
-    assert residue.masked('say "no" and `x`') == "say ￼ and ￼"
+    assert residue.masked('say "no" and `x`') == "say \x1a and \x1a"
     assert residue.masked('{"a": "b"}') == '{"a": "b"}'
     assert len(residue.letters("İx9")) == 3
+    for text in ("Ab 12_xYZ {{ a }}", "Äb 12_жYZ «a»"):
+        assert len(residue.shape(text)) == len(residue.shape_places(text))
 
 
 def test_the_labelled_sample_is_bounded():
