@@ -519,7 +519,8 @@ SQL = {
                coalesce(len(FAIL_TO_PASS), 0)::INT AS f2p_count, coalesce(len(PASS_TO_PASS), 0)::INT AS p2p_count,
                len(regexp_extract_all(coalesce(patch, ''), '(?m)^diff --git'))::INT AS patch_files,
                len(regexp_extract_all(coalesce(patch, ''), '@@'))::INT AS patch_marks FROM task_instances""",
-    "patch_lines": f"WITH {_LINES} SELECT * FROM lines",
+    "patch_lines": f"""WITH {_LINES} SELECT row_id, new_path, file_no::INT AS file_no, hunk_no::INT AS hunk_no, section, line_no::INT AS line_no,
+        kind, old_lineno::INT AS old_lineno, new_lineno::INT AS new_lineno, content FROM lines""",
     "patch_hunks": f"""WITH {_LINES}, real AS (SELECT row_id, h, count(*) FILTER (kind <> 'addition') AS o, count(*) FILTER (kind <> 'removal') AS w
         FROM body GROUP BY 1, 2)
         SELECT k.row_id, count(*) AS n_hunks, count(*) FILTER (coalesce(o, 0) = old_lines AND coalesce(w, 0) = new_lines) AS n_sound,
