@@ -64,6 +64,8 @@ FILLER = (
     "Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum.",
 )
 FORM_HEADS = "Steps Expected Actual Notes Summary Environment Logs Description Version Result".split()
+#: Lines that name a part of a report, filled or not.
+HEADS = tuple(sorted({h.lower() for h in [*FORM_HEADS, *SLOT.strip("{}").split("|")]}))
 FORM_ENDS = (":", " -", "")
 FORM_VALUES = ("tbd", "TBD", "n/a", "N/A", "x", "xxx", "...", "-", "to be written", "same text as above", "none yet", "todo", "?")
 WORD_ROWS = (

@@ -83,3 +83,13 @@ def test_the_labelled_sample_is_bounded():
     for name in ("slot", "worded", "filler", "notice"):
         assert 0 < len(samples(name, 24)) <= 4000
         assert samples(name, 4) == samples(name, 4)
+
+
+def test_residue_that_many_different_statements_share_is_no_prose(spark):
+    plain = [(i, s) for i, s, case in statements() if not case and i % 3]
+    heads = [(i, f"## Description\n\n{s}" if i % 2 else s) for i, s in plain]
+    shared = (lambda i: "Version: {{version}}", lambda i: CASES[7], lambda i: f"The {NOUNS[i % 16]} is at {{{{version}}}} since {NOUNS[i % 7]} {ADJECTIVES[i % 9]}.")
+    for line in shared:
+        rows = heads + [(i, f"{s}\n\n{line(i)}") for i, s, case in statements() if not case and i % 3 == 0]
+        t = spark.createDataFrame(rows, "row_id bigint, problem_statement string")
+        assert {r.row_id for r in residue.residue(t).collect()} == {i for i, _ in rows if i % 3 == 0}
