@@ -37,7 +37,8 @@ LEVEL_KEYS = ("level", "severity", "levelname", "lvl", "log.level", "loglevel")
 COMPONENT_KEYS = ("component", "logger", "target", "module", "name", "logger_name", "program", "source", "file")
 MESSAGE_KEYS = ("message", "msg", "event", "text")
 
-#: Characters of a collapsed shape that tell the layout; what follows is the shape of the message.
+#: Characters of a collapsed shape that tell the layout of a header whose parts are of bounded length; what follows
+#: is the shape of the message. Headers with threads, names or keys of any length (``_LONG``) end where these end.
 SHAPE_CHARS = 24
 
 _WORD = "TRACE|DEBUG|INFO|WARNING|WARN|ERROR|FATAL|CRITICAL"
@@ -79,6 +80,11 @@ _KINDS = {w: "L" for word in _WORD.split("|") for w in (word, word.lower(), word
 _TIME = re.compile(
     r"(\d{4})[-/](\d\d)[-/](\d\d)[T ](\d\d):(\d\d):(\d\d)(?:[.,](\d{1,9}))?(Z|[+-]\d\d:?\d\d)?$"
 )
+_LONG = re.compile(
+    r"(?P<time>9+-9+-9+[a ]9+:9+:9+[.,]?9* )\[(?!L\])[^\]]*\] L |(?P<file>L [^ ]+:[^ ]+:9+ )|(?P<logger>L:[^ :]+:)|(?P<pair>[aLM_.@-]+=)"
+)
+_SHORT = {"file": "L a:a:9 ", "logger": "L:a:", "pair": "a="}  #: the headers of any length, each as one shape
+_GAPS = re.compile(" {2,}")
 _PHRASE = re.compile(r"(?:a[ ,;'.!?]+)+(?=a)")
 
 
@@ -95,8 +101,15 @@ def _mark(m: re.Match) -> str:
 
 def signature(line: str) -> str:
     """Character classes of a line's header: level words L, months M, other words and dotted names a,
-    numbers 9; a phrase of several words counts as one, so that messages add few signatures."""
-    return _PHRASE.sub("", _TOKENS.sub(_mark, line))[:SHAPE_CHARS]
+    numbers 9; a phrase of several words counts as one, so that messages add few signatures; spaces count once."""
+    shape = _PHRASE.sub("", _TOKENS.sub(_mark, line))
+    if len(shape) <= SHAPE_CHARS:
+        return shape
+    if "  " in shape:
+        shape = _GAPS.sub(" ", shape)
+    if m := _LONG.match(shape):
+        return f"{m[1]}[a] L " if m.lastgroup == "time" else _SHORT[m.lastgroup]
+    return shape[:SHAPE_CHARS]
 
 
 def resolve(shape: str) -> tuple[int, ...]:

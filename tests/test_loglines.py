@@ -59,3 +59,22 @@ def test_table(spark):
     few = loglines.log_entries(spark.createDataFrame(rows, schema), max_broadcast_rules=1).collect()
     assert sorted(map(str, few)) == sorted(map(str, got))
     assert loglines.log_entries(spark.createDataFrame([], schema)).collect() == []
+
+
+AT = "2025-01-02 03:04:05.123000"
+LONG = [
+    ("2025-01-02 03:04:05.123 [pool-1-thread-2] INFO a.b.C - m", (AT, "INFO", "a.b.C", "m")),
+    ("2025-01-02 03:04:05.123 [http-nio-8080-exec-1] WARN  a.b.C - m", (AT, "WARN", "a.b.C", "m")),
+    ("2025-01-02 03:04:05.123 [main]            INFO       a.b.C - m", (AT, "INFO", "a.b.C", "m")),
+    ("2025-01-02 03:04:05.123   INFO    4476 --- [pool-1-thread-2] a.b.C : m", (AT, "INFO", "a.b.C", "m")),
+    ("INFO my_mod2.sub3_x4:test_1_2_3.py:12 m", (None, "INFO", "my_mod2.sub3_x4", "m")),
+    ("INFO my_mod2.sub3_x4.part5_y6:test_1_2_3_4.py:12 m", (None, "INFO", "my_mod2.sub3_x4.part5_y6", "m")),
+    ("ERROR:a1.b2_c3.d4_e5_f6.g7_h8_i9.j1:m", (None, "ERROR", "a1.b2_c3.d4_e5_f6.g7_h8_i9.j1", "m")),
+]
+
+
+@pytest.mark.parametrize(("line", "want"), LONG)
+def test_headers_of_any_length(line, want):
+    assert loglines.header(line, loglines.resolve(loglines.signature(line)), 2024) == want
+    got = list(loglines.entries(f"{LINES[0][0]}\n{line}\nmore", 2024, None))
+    assert [e[:2] for e in got] == [(1, 1), (2, 3)]
