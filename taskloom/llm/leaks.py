@@ -129,6 +129,10 @@ def _repetitions(walks: Walks) -> int:
     while repetition < 512 and missed.mean() > 1 - walks.recall:
         missed &= walks.hashes(first, starts, repetition) != walks.hashes(second, starts, repetition)
         repetition += 1
+    if missed.mean() > 1 - walks.recall:
+        raise ValueError(
+            f"{repetition} repetitions find {1 - missed.mean():.3f} of windows with {walks.edits} edits, not {walks.recall}: sample fewer positions"
+        )
     return max(1, repetition)
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from taskloom.llm import leaks
 
@@ -104,3 +105,8 @@ def test_equal_windows_always_meet():
     codes = np.concatenate([rng.integers(1, 50, 7).astype(np.uint64), w, rng.integers(1, 50, 9).astype(np.uint64)])
     for r in range(walks.repetitions()):
         assert walks.hashes(codes, np.array([7]), r) == walks.hashes(w, np.array([0]), r)
+
+
+def test_a_recall_out_of_reach_is_an_error():
+    with pytest.raises(ValueError, match="sample fewer positions"):
+        leaks._repetitions(leaks.Walks(edits=8, sampled=40))
