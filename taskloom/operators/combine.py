@@ -63,16 +63,18 @@ def greedy(patches: list[tuple[str, str]], size: int, most: int, tries: int, fil
     return out
 
 
-def combined(patches: DataFrame, group: str, size: int, most: int = 10, tries: int = 1000, files: int = 1, group_cap: int = 2000) -> DataFrame:
+def combined(patches: DataFrame, group: str, size: int, most: int = 10, tries: int = 1000, files: int = 1) -> DataFrame:
     """(group, members, patch): greedy combinations within each group (a file, or a module for ``files`` = 2).
 
-    patches: group, name, patch. The selection depends on the order, so a group is one call; only the first
-    ``group_cap`` patches by name can enter it, as ``most`` results of ``size`` use few (the caps are the feature).
+    patches: group, name, patch. The selection depends on the order, so a group is one call. It gets every patch
+    that the search can reach: a result tries ``tries`` combinations, which differ in their last patch while there are
+    further ones, of what earlier results left.
     """
     prepare(patches.sparkSession)
     kind = dict(patches.dtypes)[group]
-    first = Window.partitionBy(group).orderBy("name")
-    few = patches.where("patch <> ''").select(group, "name", "patch").withColumn("r", F.row_number().over(first)).where(F.col("r") <= group_cap)
+    first = Window.partitionBy(group).orderBy("name", "patch")
+    reach = most * size + tries - 1
+    few = patches.where("patch <> ''").select(group, "name", "patch").withColumn("r", F.row_number().over(first)).where(F.col("r") <= reach)
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         found = greedy(list(zip(batch["name"], batch["patch"], strict=True)), size, most, tries, files)

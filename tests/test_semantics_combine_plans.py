@@ -119,6 +119,22 @@ def test_greedy_combinations_share_no_patch(spark):
     assert combine.combined(t, "folder", 2, files=2).collect() == []
 
 
+def test_large_groups_lose_no_result(spark):
+    one = "--- a/{0}\n+++ b/{0}\n@@ -1,1 +1,1 @@\n-a\n+b\n"
+    rows = [("g", f"{n:05d}", "diff --git a/f{0} b/f{0}\n".format(n) + one.format(f"f{n}")) for n in range(2100)]
+    t = spark.createDataFrame(rows, "folder string, name string, patch string")
+    assert combine.combined(t, "folder", 2, most=1050, tries=3).count() == 1050
+
+
+def test_nothing_in_reach_of_the_search_is_left_out(spark):
+    rows = [("g", f"{n:02d}", at(5)) for n in range(12)] + [("g", f"{n}", at(n - 50)) for n in range(70, 78, 2)]
+    t = spark.createDataFrame(rows, "folder string, name string, patch string")
+    for size, most, tries in ((2, 1, 12), (2, 3, 15), (3, 2, 40), (1, 4, 1), (2, 2, 1)):
+        want = combine.greedy([r[1:] for r in rows], size, most, tries)
+        got = combine.combined(t, "folder", size, most=most, tries=tries).collect()
+        assert [(r.members, r.patch) for r in got] == want
+
+
 RUST = "fn f(a: i32) -> Result<i32> {\n    if a == 3 {\n        return Err(x);\n    }\n    let b = g(a, c)?;\n    lock_a();\n    lock_b();\n    Ok(b < 10 && a > 2)\n}\n"
 
 
