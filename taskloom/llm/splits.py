@@ -23,18 +23,38 @@ BINS = (50, 100, 200)
 # --- identity ---------------------------------------------------------------------------------------
 
 
-def mirror_organisations(profiles: DataFrame, most: int = 1000) -> list[str]:
-    """Organisations that hold mirrors, from the registry. They only settle how a mirror name without
-    a commit is read; with more than ``most`` of them none is used."""
-    orgs = profiles.select(F.lower(F.split("mirror_name", "/")[0]).alias("o")).where("o is not null").distinct()
-    found = [r["o"] for r in orgs.limit(most + 1).collect()]
-    return sorted(found) if len(found) <= most else []
+def _organisations(profiles: DataFrame) -> DataFrame:
+    """(o): organisations that hold mirrors, from the registry; they settle how a mirror name without a commit is read."""
+    return profiles.select(F.lower(F.split("mirror_name", "/")[0]).alias("o")).where("o is not null").distinct()
 
 
-def project_of_repo(repo: Column, mirrors: list[str] = ()) -> Column:
+def mirror_organisations(profiles: DataFrame, most: int = 1000) -> list[str] | None:
+    """Organisations that hold mirrors; None if there are more than ``most``, too many for one pattern."""
+    found = [r["o"] for r in _organisations(profiles).limit(most + 1).collect()]
+    return sorted(found) if len(found) <= most else None
+
+
+def project_of_repo(repo: Column, mirrors: list[str] = (), mirrored: Column | None = None) -> Column:
     """``owner/repo`` in lower case, whatever the notation: a web or ssh address, ``owner/repo``,
-    ``owner__repo``, or a mirror ``organisation/owner__repo.commit``; null for null and blank values."""
+    ``owner__repo``, or a mirror ``organisation/owner__repo.commit``; null for null and blank values.
+    mirrors: organisations of mirrors. mirrored: instead of these, whether ``organisation`` is one."""
     orgs = "|".join(re.escape(m) for m in mirrors)
+    anyone = (r"^(?:.*/)?[^/]*/([^/]+?)__([^/]+)$", "$1/$2")
+    rest = [(r"^([^/]+?)__([^/]+)$", "$1/$2"), (r"^.*/([^/]+/[^/]+)$", "$1")]
+    name = _replaced(_cleaned(repo), [(rf"^(?:.*/)?(?:{orgs})/([^/]+?)__([^/]+)$", "$1/$2")] if orgs else [])
+    if mirrored is not None:
+        name = F.when(mirrored, _replaced(name, [anyone])).otherwise(name)
+    return F.nullif(_replaced(name, rest), F.lit(""))
+
+
+def _replaced(name: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, into in steps:
+        name = F.regexp_replace(name, pattern, into)
+    return name
+
+
+def _cleaned(repo: Column) -> Column:
+    """The name in lower case without an address and without the commit of a mirror."""
     steps = [
         (r"^[a-z][a-z0-9+.-]*://(?:[^/@]*@)?[^/]+/+", ""),
         (r"^[^/@:\s]+@[^/:\s]+[:/]", ""),
@@ -42,14 +62,23 @@ def project_of_repo(repo: Column, mirrors: list[str] = ()) -> Column:
         (r"(?:\.git)?/*$", ""),
         (r"^/+", ""),
         (r"^(?:.*/)?([^/]+?)__([^/]+)\.[0-9a-f]{7,40}$", "$1/$2"),
-        *([(rf"^(?:.*/)?(?:{orgs})/([^/]+?)__([^/]+)$", "$1/$2")] if orgs else []),
-        (r"^([^/]+?)__([^/]+)$", "$1/$2"),
-        (r"^.*/([^/]+/[^/]+)$", "$1"),
     ]
-    name = F.lower(F.trim(F.regexp_replace(repo, r"\s+", " ")))
-    for pattern, into in steps:
-        name = F.regexp_replace(name, pattern, into)
-    return F.nullif(name, F.lit(""))
+    return _replaced(F.lower(F.trim(F.regexp_replace(repo, r"\s+", " "))), steps)
+
+
+def with_project(rows: DataFrame, profiles: DataFrame, name: str, most: int = 1000) -> DataFrame:
+    """``rows`` with the project of ``repo``: by one pattern, or, with more than ``most`` organisations of mirrors,
+    by a join of the distinct values with these, which gives the same."""
+    mirrors = mirror_organisations(profiles, most)
+    if mirrors is not None:
+        return rows.withColumn(name, project_of_repo(F.col("repo"), mirrors))
+    key = F.regexp_extract(_cleaned(F.col("repo")), r"^(?:.*/)?([^/]*)/[^/]+?__[^/]+$", 1)
+    held = F.col("repo").alias("__repo"), key.alias("__key")
+    open_ = rows.select(*held).where(_cleaned(F.col("repo")).rlike(r"/[^/]+?__[^/]+$")).distinct()
+    known = open_.join(_organisations(profiles), F.col("__key") == F.col("o")).select("__repo", F.lit(True).alias("__mirrored"))
+    joined = rows.join(known, F.col("repo") == F.col("__repo"), "left")
+    named = project_of_repo(F.col("repo"), mirrored=F.coalesce("__mirrored", F.lit(False)))
+    return joined.withColumn(name, named).drop("__repo", "__mirrored")
 
 
 def project_of_instance(instance_id: Column) -> Column:
@@ -81,7 +110,7 @@ def repo_components(instances: DataFrame, profiles: DataFrame) -> DataFrame:
     """(repo, component) of every distinct non-null ``repo`` value, as stored."""
     prepare(instances.sparkSession)
     repos = instances.select("repo").where("repo is not null").distinct()
-    named = repos.withColumn("__name", project_of_repo(F.col("repo"), mirror_organisations(profiles)))
+    named = with_project(repos, profiles, "__name")
     linked = components(former_names(profiles))
     return _with_component(named, "__name", linked).where("component is not null").select("repo", "component")
 
@@ -250,12 +279,13 @@ def project_splits(
     """
     prepare(instances.sparkSession)
     name = F.coalesce(
-        project_of_repo(F.col("repo"), mirror_organisations(profiles)),
+        F.col("__project"),
         project_of_instance(F.col("instance_id")),
         F.concat(F.lit("row:"), F.col("row_id")),
         F.lit("row:"),
     )
-    rows = instances.select("row_id", name.alias("__name"))
+    read = with_project(instances.select("row_id", "repo", "instance_id"), profiles, "__project")
+    rows = read.select("row_id", name.alias("__name"))
     sizes = rows.groupBy("__name").agg(F.count(F.lit(1)).alias("__n"))
     names = cut(_with_component(sizes, "__name", components(former_names(profiles))))
     weights = names.groupBy("component").agg(F.sum("__n").alias("__weight"))

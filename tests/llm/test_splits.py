@@ -84,3 +84,19 @@ def test_differencing_places_everything(bins):
 
 def test_no_weights():
     assert splits.plan_splits({}, [0.8, 0.1, 0.1]) == {}
+
+
+def test_many_mirror_organisations_change_nothing(spark):
+    rows, t, p = tables(spark)
+    extra = spark.createDataFrame([(f"x{i}/y__z.c8a816ae",) for i in range(1001)], "mirror_name string")
+    many = p.unionByName(extra, allowMissingColumns=True)
+    more = spark.createDataFrame([(90, "swesynth/a__b", None), (91, "other/a__b", None), (92, "https://h.example/x7/c__d", None)], "row_id bigint, repo string, instance_id string")
+    t = t.select("row_id", "repo", "instance_id").unionByName(more)
+    pairs = {tuple(r) for r in splits.same_project_pairs(t, many).collect()}
+    assert ("a/b", "swesynth/a__b") in pairs and ("a/b", "https://h.example/x7/c__d") in pairs and not any("other/a__b" in x for x in pairs)
+    of = {r.row_id: r.project for r in splits.project_splits(t, many).collect()}
+    assert of[90] == of[92] == of[0] != of[91]
+    names = spark.createDataFrame([(a,) for a, _ in NAMES], "repo string")
+    for most in (1000, 0):
+        got = splits.with_project(names, p, "n", most).collect()
+        assert sorted(map(str, ((r.repo, r.n) for r in got))) == sorted(map(str, NAMES))
