@@ -47,6 +47,7 @@ class Settings:
     ratio: mean log ratio of a residue window. coverage: share of a sentence that windows must cover.
     slot: summed log ratio of a slot, over slot_window shape n-grams.
     worded: the same of a slot known by its words, at best over as many letter n-grams from its start or end.
+    masked: marks of code and quotations for each character of a sentence that its other characters may still condemn.
     known, marks: what a line of the first prose model must stay below: share of letter n-grams that labelled
     phrases hold, and shape n-grams of a slot window that only slots hold."""
 
@@ -61,6 +62,7 @@ class Settings:
     slot: float = 12.0
     slot_window: int = 6
     worded: float = 12.0
+    masked: float = 0.05
     known: float = 0.5
     marks: int = 4
 
@@ -293,8 +295,10 @@ class Models:
                 found += [*before, (m.start(), m.end(), "slot", float(max([best.max(), *told.values()])))]
                 continue
             for kind, total in covered.items():
-                share = (total[m.end() + 1] - total[m.start() + 1]) / (m.end() - m.start())
-                if share >= s.coverage and _MASK not in part:
+                held, marks = total[m.end() + 1] - total[m.start() + 1], part.count(_MASK)
+                if marks:
+                    held -= sum(cover[kind][m.start() + 1 + i] for i, c in enumerate(part) if c == _MASK)
+                if marks <= s.masked * len(part) and held >= s.coverage * (len(part) - marks):
                     mean = float(self.ratios[kind][gram[m.start() + 1 : m.end() + 1]].mean())
                     if mean >= s.ratio:
                         here = (m.start(), m.end(), kind, mean)

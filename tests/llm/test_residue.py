@@ -93,3 +93,10 @@ def test_residue_that_many_different_statements_share_is_no_prose(spark):
         rows = heads + [(i, f"{s}\n\n{line(i)}") for i, s, case in statements() if not case and i % 3 == 0]
         t = spark.createDataFrame(rows, "row_id bigint, problem_statement string")
         assert {r.row_id for r in residue.residue(t).collect()} == {i for i, _ in rows if i % 3 == 0}
+
+
+def test_an_error_text_that_quotes_is_a_case(spark):
+    rows = statements() + [(8000, 'The requested page "/issues/12" was not found on this server.', True), (8001, "The `page` option of the server was not found by the lazy builder.", False)]
+    t = spark.createDataFrame([(i, s) for i, s, _ in rows], "row_id bigint, problem_statement string")
+    got = {r.row_id for r in residue.residue(t).collect()}
+    assert 8000 in got and not got & {i for i, _, case in rows if not case}
