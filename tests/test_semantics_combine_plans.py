@@ -156,3 +156,28 @@ def test_plans_table(spark):
     t = spark.createDataFrame([(1, json.dumps(plan), RUST), (2, "broken", RUST), (3, None, RUST)], "id int, plan string, src string")
     got = {(r.id, r.position): r for r in plans.apply_plans(t, ["id"], "plan", F.col("src")).collect()}
     assert set(got) == {(1, 0), (1, 1)} and "a != 3" in got[1, 0].code and got[1, 1].error == "unknown transform"
+
+
+@pytest.mark.parametrize(("text", "lang", "found"), [
+    ("async def f(a=(1, 2),\n      b=3) -> int:  # note\n    x\n\n    y\nz", "python", [("function", "f", 0, 0, 1, 4)]),
+    ("class A(B):\n    def g(self):\n        pass", "python", [("class", "A", 0, 0, 0, 2), ("function", "g", 4, 1, 1, 2)]),
+    ("pub(crate) async fn f<T: A>(\n    a: T,\n) -> T {\n    a\n}\nlet x = 1;", "rust", [("function", "f", 0, 0, 2, 4)]),
+    ("impl<T> Foo for Bar {\n}", "rust", [("type", "Foo", 0, 0, 0, 1)]),
+    ("func (r *T) Name(x int) error {\n\treturn nil\n}", "go", [("function", "Name", 0, 0, 0, 2)]),
+    ("define(x)\n# def f(", "python", []),
+])
+def test_declared_items(text, lang, found):
+    got = semantics.declared(text.split("\n"), lang)
+    assert [(x.kind, x.name, x.indent, x.first, x.head, x.last) for x in got] == found
+
+
+def test_a_touched_signature_decides_the_meaning():
+    head = "diff --git a/m.rs b/m.rs\n--- a/m.rs\n+++ b/m.rs\n@@ -1,4 +1,4 @@ fn outer()\n"
+    of = lambda body, h=head: [r[4:8] + (r[9],) for r in semantics.changes(h + body)]
+    assert of(" fn f(\n-    a: u8,\n+    a: u16,\n ) {\n") == [("function", "modified", "f", "signature_change", True)]
+    assert of(" fn f() {\n-    1\n+    2\n }\n") == [("function", "modified", "f", "body_change", False)]
+    assert of("-    1\n+    2\n") == [("function", "modified", "outer", "body_change", False)]
+    assert of("-) -> u8 {\n+) -> u16 {\n") == [("function", "modified", "outer", "signature_change", True)]
+    assert of("+fn g() {\n+}\n") == [("function", "added", "g", "addition", True)]
+    assert of("-fn g() {\n+fn h() {\n") == [("function", "removed", "g", "deletion", True)]
+    assert of("-x \n+x\n") == []
