@@ -73,18 +73,6 @@ def similarity_bucket(ratio: Column, text: Column) -> Column:
     )
 
 
-def change_summary(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Per diff: files, hunks, added and removed lines, and where: sorted distinct ``path:hunk``."""
-    place = F.concat("new_path", F.lit(":"), F.col("hunk_no").cast("string"))
-    return lines.groupBy(*keys).agg(
-        F.countDistinct("new_path").alias("n_files"),
-        F.countDistinct("file_no", "hunk_no").alias("n_hunks"),
-        F.count_if(F.col("kind") == "addition").alias("n_added"),
-        F.count_if(F.col("kind") == "removal").alias("n_removed"),
-        F.array_sort(F.collect_set(place)).alias("places"),
-    )
-
-
 def module_groups(files: DataFrame, key: str, path: str, depth: int) -> DataFrame:
     """(repo_key, module, n_patches, paths): patches by the first ``depth`` parts of their files' folders; modules
     of a single file drop out."""

@@ -33,7 +33,7 @@ def merged(patches: list[str]) -> str | None:
             if h.old_start < end:
                 return None
             end = h.old_start + old
-            result.append(Hunk(h.old_start, old, h.old_start + moved, new, h.section, h.body))
+            result.append(Hunk(h.old_start, old, h.old_start + moved, new, h.tail, h.body))
             moved += new - old
         many[0].hunks = result
         out.append(many[0])

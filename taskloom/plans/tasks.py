@@ -251,13 +251,12 @@ def patch_hunks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def patch_changes(spark: SparkSession, folder: str) -> DataFrame:
-    lines = diffs.patch_lines(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
-    return aggregates.change_summary(lines, ["row_id"])
+    rows = diffs.patch_summaries(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    return rows.select("row_id", "n_files", "n_hunks", "n_added", "n_removed", "places")
 
 
 def changed_functions(spark: SparkSession, folder: str) -> DataFrame:
-    lines = diffs.patch_lines(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
-    return diffs.changed_functions(lines, ["row_id"])
+    return diffs.changed_functions(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
 
 
 def patch_inverted(spark: SparkSession, folder: str) -> DataFrame:
@@ -279,11 +278,8 @@ def patch_test_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bug_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    lines = diffs.patch_lines(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
-    text = lambda kind: F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.when(
-        F.col("kind") == kind, F.struct("file_no", "hunk_no", "line_no", "content")))), lambda x: x["content"]))
-    both = lines.groupBy("row_id").agg(text("removal").alias("old"), text("addition").alias("new"))
-    return both.select("row_id", scores.bug_kind(F.col("old"), F.col("new")).alias("bug_kind"))
+    rows = diffs.patch_summaries(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    return rows.select("row_id", scores.bug_kind(F.col("removed"), F.col("added")).alias("bug_kind"))
 
 
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -229,17 +229,12 @@ def test_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def static_statements(spark: SparkSession, folder: str) -> DataFrame:
     """Statements from a template: the files, the functions and a failing test of each instance."""
-    rows = T(spark, folder, "task_instances").where("patch <> ''")
-    lines = diffs.patch_lines(rows.select("row_id", "patch"), ["row_id"])
-    parts = lines.groupBy("row_id").agg(
-        F.array_sort(F.collect_set("new_path")).alias("files"),
-        F.array_sort(F.collect_set(F.when(F.col("section") != "", F.col("section")))).alias("functions"),
-    )
+    rows = T(spark, folder, "task_instances").select("row_id", "patch", F.array_min("FAIL_TO_PASS").alias("test")).where("patch <> ''")
+    parts = diffs.patch_summaries(rows, ["row_id", "test"])
     text = semantics.render("Files:\n{files}\nFunctions:\n{functions}\nTest: {test}", {
-        "files": semantics.bullet_list(F.col("files")), "functions": semantics.bullet_list(F.col("functions")),
-        "test": F.array_min("FAIL_TO_PASS"),
+        "files": semantics.bullet_list(F.col("files")), "functions": semantics.bullet_list(F.col("sections")), "test": F.col("test"),
     })
-    return rows.join(parts, "row_id").select("row_id", F.md5(text).alias("statement"))
+    return parts.select("row_id", F.md5(text).alias("statement"))
 
 
 def combined_patches(spark: SparkSession, folder: str) -> DataFrame:

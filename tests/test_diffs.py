@@ -96,3 +96,47 @@ def test_tables(spark):
     pair = spark.createDataFrame([("abcd", "bcde"), (None, "x"), ("same", "same")], "a string, b string")
     got = [r[0] for r in pair.select(diffs.similarity(F.col("a"), F.col("b"))).collect()]
     assert got == [difflib.SequenceMatcher(None, "abcd", "bcde").ratio(), None, 1.0]
+
+
+ODD = st.lists(st.sampled_from(["a", "b\r", "c\x0cd", "e f", "", "\r", "-x", "+y", " z", "\\ q"]), max_size=12)
+
+
+@settings(max_examples=150, deadline=None)
+@given(ODD, ODD, st.booleans(), st.booleans())
+def test_odd_line_ends_survive(before, after, a_ends, b_ends):
+    a, b = "\n".join(["head", *before, "tail"]) + "\n" * a_ends, "\n".join(["head", *after, "tail"]) + "\n" * b_ends
+    patch = diffs.unified("f.py", a, b)
+    if patch is None:
+        return
+    undo = diffs.inverted(patch)
+    assert diffs.apply_to(a, diffs.parse(patch)[0].hunks) == b
+    assert diffs.apply_to(b, diffs.parse(undo)[0].hunks) == a
+    assert diffs.inverted(undo) == diffs.render(diffs.parse(patch))
+
+
+def test_carriage_returns_of_structural_lines_stay():
+    text = PATCH.replace("\n", "\r\n")
+    (first, second, third) = diffs.parse(text)
+    assert (first.new_path, second.is_new, third.is_deleted, first.hunks[0].section) == ("src/a.py", True, True, "def f")
+    assert diffs.inverted(diffs.inverted(text)) == diffs.render(diffs.parse(text))
+    assert diffs.render(diffs.parse(text)).count("\r\n") == text.count("\r\n")
+    assert diffs.apply_to("x = 1\r\ny = 2\r\nw = 5\r\n", first.hunks) == "x = 1\r\ny = 3\r\nz = 4\r\nw = 5\r\n"
+
+
+def test_renames_and_modes_swap():
+    text = "diff --git a/x b/y\nold mode 100644\nnew mode 100755\nrename from x\nrename to y\n"
+    back = diffs.inverted(text)
+    assert back == "diff --git a/y b/x\nold mode 100755\nnew mode 100644\nrename from y\nrename to x\n"
+    assert diffs.inverted(back) == text
+
+
+def test_summaries_and_cosmetic_hunks(spark):
+    from pyspark.sql import functions as F
+
+    t = spark.createDataFrame([(1, PATCH), (2, None), (3, ""), (4, PATCH)], "id int, patch string")
+    rows = {r.id: r for r in diffs.patch_summaries(t, ["id"]).collect()}
+    assert set(rows) == {1, 4} and (rows[1].n_files, rows[1].n_hunks, rows[1].n_added, rows[1].n_removed) == (3, 3, 3, 2)
+    assert rows[1].places == ["old.txt:0", "src/a.py:0", "tests/test_a.py:0"] and rows[1].functions == ["def f"]
+    assert (rows[1].removed, rows[1].added) == ("y = 2 gone", "y = 3 z = 4 import a")
+    cut = t.select(diffs.without_hunks(F.col("patch"), ["@@ -0,0 +1 @@"]).alias("p")).first().p
+    assert cut == PATCH[: PATCH.index("@@ -0,0")].rstrip() + "\n"
