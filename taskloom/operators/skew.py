@@ -35,6 +35,7 @@ def salted_aggregate(
     distinct: tuple[str, Column] | None = None,
     heavy_share: float = 0.01,
     salts: int | None = None,
+    spread: Column | None = None,
 ) -> DataFrame:
     """One row per value of ``key`` (null is a value), by two-stage salted aggregation.
 
@@ -44,6 +45,8 @@ def salted_aggregate(
     keys are, which bounds the broadcast table of heavy keys.
     salts: salts of a key holding all rows (default: the shuffle partitions); a key gets its share.
 
+    spread: what the salt is a hash of, if neither the distinct column nor the measured ones are to be.
+
     The salt is a hash of the row's distinct column, or of all measured columns, rather than
     ``rand()``: a task rerun after the loss of an executor gives every row the same salt again, and
     equal values of the distinct column meet under one salt, so partial distinct counts add up.
@@ -58,7 +61,8 @@ def salted_aggregate(
         )
     )
     cols = {name: (F.lit(1) if column is None else column) for name, (_, column) in measures.items()}
-    spread = distinct[1] if distinct else F.struct(*cols.values())
+    if distinct or spread is None:
+        spread = distinct[1] if distinct else F.struct(*cols.values())
     rows = df.select(
         F.col(key).alias("__k"),
         F.xxhash64(spread).alias("__h"),
@@ -113,6 +117,19 @@ def heavy_repos(instances: DataFrame, share: float = 0.05) -> DataFrame:
     """The non-null ``repo`` values held by more than ``share`` of all rows (null rows count)."""
     part = Fraction(str(share))
     total = instances.agg(F.count(F.lit(1)).alias("__total"))
-    return repo_results(instances).where(
+    counts = salted_aggregate(instances, "repo", {"n_rows": ("rows", None)}, spread=F.col("instance_id"))
+    return counts.where(
         F.col("repo").isNotNull() & (F.col("n_rows") * part.denominator > total.scalar() * part.numerator)
     ).select("repo")
+
+
+def look_up(rows: DataFrame, mapping: DataFrame, key: str, share: float = 0.01) -> DataFrame:
+    """Inner join of rows with a table unique in ``key``, for keys of any skew.
+
+    Keys of more than ``share`` of the rows, fewer than ``1 / share``, are broadcast; rows of all
+    others are joined by a shuffle in which none of them is large. Null keys match nothing.
+    """
+    hot = mapping.join(F.broadcast(heavy_keys(rows, key, share).select(F.col("__key").alias(key))), key, "left_semi")
+    hot = F.broadcast(hot)
+    cold = rows.join(hot.select(key), key, "left_anti").join(mapping, key)
+    return rows.join(hot, key).unionByName(cold)

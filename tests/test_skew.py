@@ -64,3 +64,12 @@ def test_ranks_are_unique_and_complete_in_buckets(spark):
     assert {k: sorted(v) for k, v in by.items()} == {k: list(range(len(v))) for k, v in by.items()}
     assert len(got) == len(data)
     assert rank_within(spark.createDataFrame([], "k int, v int"), "k", ["v"]).collect() == []
+
+
+def test_look_up_of_hot_and_cold_keys(spark):
+    from taskloom.operators.skew import look_up
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(900, None)], "id int, k string")
+    mapping = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(0, 300, 6)), ("unused", 5)], "k string, v int")
+    got = {(r.id, r.v) for r in look_up(rows, mapping, "k").collect()}
+    assert got == {(i, 1) for i in range(300) if i % 3} | {(i, i) for i in range(0, 300, 6)}
