@@ -1,41 +1,52 @@
 """One consistent form for text that looks the same but consists of different characters.
 
-A mapping from character clusters (a base and its combining marks, ligatures, wide and other
-presentation forms, spaces, hyphens, invisible characters, look-alike letters) is compiled once from
-rules, checked for conflicts, and applied in one pass by longest match. Plain ASCII text is its own
-consistent form and is returned as it is.
-
-Look-alike letters go to the script of the word they stand in: a word with a letter that only one
-alphabet has belongs to it, and a word of look-alikes alone follows the nearest such word before it
-(else after it). What decides is never itself a look-alike, so variants of a text decide alike.
-A text with no deciding letter keeps the alphabet that most of its letters are written in.
+A transducer reads grapheme clusters: a base with its combining marks, conjoining letters, joined pictographs, and whatever
+invisible characters stand between them. Its table of characters (wide and other presentation forms, ligatures, numerals
+made as one character, spaces, hyphens, invisible characters) is precomputed from Unicode data and short lists, the
+compositions of bases and marks are compiled into its states, and both are checked for conflicts. A state's output is known
+when the state is made; other sequences of marks get their states when first met. The longest cluster is always taken.
+
+Look-alike letters belong to the same pass: a state has a form in each alphabet, and the word's alphabet picks it. A word
+with a letter that only one alphabet has belongs to it, and a word of look-alikes alone follows the nearest such word before
+it (else after it, until when it waits). What decides is never itself a look-alike, so variants of a text decide alike. A
+text with no deciding letter stays if it is in one alphabet, and is Latin if it mixes several. Letters of alphabets listed
+as minor are look-alikes only in words that hold letters of another alphabet. Plain ASCII text is its own consistent form.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata as ud
-from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import look_up
 from ..session import cut, prepare
 
 # Letters that look like a Latin letter, by alphabet, each beside the letter it looks like.
 CYRILLIC = dict(zip("аеорсухѕіјһԁԛԝӏАВЕКМНОРСТХЅІЈУԚԜ", "aeopcyxsijhdqwlABEKMHOPCTXSIJYQW", strict=True))
 GREEK = dict(zip("οϲϳνΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ocjvABEZHIKMNOPTYXCJ", strict=True))
-# Invisible characters, combining marks, and the hyphens that look like the ASCII one.
-INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\ufe0e\ufe0f"
-MARKS = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f"
-HYPHENS = "\u2010\u2011\ufe63\uff0d"
+# The same for alphabets, and for rare letters, that count as look-alikes only beside other letters.
+ARMENIAN = dict(zip("ոսօհցզՕՍՏԼ", "nuohgqOUSL", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᏀᏃᏚᏙᏞᏟᏢᏦᏴ", "DRTiYAJEWMHGZSVLCPKB", strict=True))
+RARE = dict(zip("ѵѴԌɑɡ", "vVGag", strict=True))
+# Invisible characters, and the hyphens that look like the ASCII one.
+INVISIBLE = "­͏؜᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿︎️"
+HYPHENS = "‐‑﹣－"
 #: Compatibility decompositions that change how a character is presented, not what it looks like it is.
 PRESENTATION = ("<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>", "<font>", "<small>")
+#: Blocks whose compatibility characters are letters in a row: Latin and Armenian ligatures, Roman numerals.
+ROWS = (range(0xFB00, 0xFB50), range(0x2160, 0x2180))
 
-_JOINER = "\u200d"
-_PICTURE = "\u00a9\u00ae\u203c-\u3299\U0001f000-\U0001faff"
+ALPHABETS = ("latin", "cyrillic", "greek")
+MINOR = ARMENIAN | CHEROKEE | RARE
+_JOINER = "‍"
+_PICTURE = "©®‼-㊙\U0001f000-\U0001faff"
+#: Blocks that hold letters of the alphabets above: texts without any have no look-alikes to settle.
+_BLOCKS = "ɐ-ʯͰ-ϿЀ-ԯ԰-֏Ꭰ-᏿ᴀ-ᶿἀ-῿Ωⷠ-ⷿꙀ-ꚟꭰ-ꮿ\U0001d6a8-\U0001d7cb"
 
 
 def _rules() -> dict[str, str]:
@@ -57,7 +68,7 @@ def _rules() -> dict[str, str]:
         kind = ud.decomposition(c).split(" ")[0]
         if ud.category(c) == "Zs":
             put(c, " ")
-        elif kind in PRESENTATION or (kind == "<compat>" and 0xFB00 <= code < 0xFB50):
+        elif kind in PRESENTATION or (kind == "<compat>" and any(code in r for r in ROWS)):
             put(c, ud.normalize("NFKC", c))
     while True:  # a rule's result is itself in the consistent form
         longer = {k: "".join(table.get(c, c) for c in v) for k, v in table.items()}
@@ -71,107 +82,197 @@ def _check(table: dict[str, str]) -> dict[str, str]:
     for key, value in table.items():
         if any(c in table for c in value):
             raise ValueError(f"{key!r} becomes {value!r}, which is mapped again")
-    clash = [c for c in [*CYRILLIC, *GREEK] if c in table]
+    clash = [c for c in [*CYRILLIC, *GREEK, *MINOR] if c in table]
     if clash:
         raise ValueError(f"letters with two rules: {clash}")
     return table
 
 
 TABLE = _check(_rules())
-_CODES = {ord(k): v for k, v in TABLE.items()}
-#: Longest runs of clusters that aren't plain ASCII: ASCII bases with marks belong to them.
-_RUN = re.compile(f"(?:[\x00-\x7f](?=[{INVISIBLE}]*[{MARKS}])|[^\x00-\x7f])+")
-_TO_LATIN = CYRILLIC | GREEK
-_TO_CYRILLIC = {v: k for k, v in CYRILLIC.items()}
-_TO_GREEK = {v: k for k, v in GREEK.items() if v not in "v"}
-_WORD = re.compile("[^\\W\\d_](?:[^\\W\\d_]|[\u0300-\u036f])*")
-_LOOKALIKE = re.compile("[" + "".join(_TO_LATIN) + "]")
-_TRANSLATE = {
-    "latin": str.maketrans(_TO_LATIN),
-    "cyrillic": str.maketrans(_TO_CYRILLIC | {k: _TO_CYRILLIC[v] for k, v in GREEK.items() if v in _TO_CYRILLIC}),
-    "greek": str.maketrans(_TO_GREEK | {k: _TO_GREEK[v] for k, v in CYRILLIC.items() if v in _TO_GREEK}),
+
+_TO_LATIN = CYRILLIC | GREEK | MINOR
+#: Back from Latin; a v stays one, since it decides Latin words.
+_BACK = {"cyrillic": {v: k for k, v in CYRILLIC.items()}, "greek": {v: k for k, v in GREEK.items() if v != "v"}}
+_INTO = {"latin": str.maketrans(_TO_LATIN)} | {
+    a: str.maketrans(back | {k: back[v] for k, v in _TO_LATIN.items() if v in back and k not in back.values()}) for a, back in _BACK.items()
 }
-_PICTURE_JOIN = re.compile(f"(?<=[{_PICTURE}]){_JOINER}(?=[{_PICTURE}])")
-_KEEP = "\ue000"
+#: Letters that may stand for one another; the others decide.
+_OPEN = {*_TO_LATIN, *(c for back in _BACK.values() for c in back)} - set(MINOR)
+
+
+def _alphabet(letter: str) -> str | None:
+    name = ud.name(letter, "")
+    return next((a for a in ALPHABETS if name.startswith(a.upper())), None)
+
+
+class Cluster:
+    """A state of the transducer: the cluster read so far, its forms, and where each next character leads.
+
+    script: the alphabet that the cluster's letter decides; "open" for a look-alike, "minor" for one of a minor
+    alphabet, None for anything else. own: the alphabet it is written in."""
+
+    __slots__ = ("ahead", "forms", "joined", "own", "script", "text")
+
+    def __init__(self, text: str, joined: bool = False) -> None:
+        plain = ud.normalize("NFC", text)
+        base = ud.normalize("NFD", plain)[:1]
+        self.text, self.joined = text, joined
+        self.ahead: dict[str, Cluster | None] = {}
+        self.own = _alphabet(base) if base.isalpha() else None
+        self.script = "minor" if base in MINOR else "open" if base in _OPEN else self.own
+        self.forms = {None: plain} | {a: ud.normalize("NFC", ud.normalize("NFD", plain).translate(_INTO[a])) for a in ALPHABETS}
+
+    def step(self, c: str) -> Cluster | None:
+        """The state after one more character; None if the cluster ends before it."""
+        value = TABLE.get(c, c)
+        if not self.text:
+            return _state(value) if value else self
+        if not value:
+            return _state(self.text, True) if c == _JOINER and _IS_PICTURE(self.text[-1]) else self
+        if self.joined and _IS_PICTURE(value):
+            return _state(self.text + _JOINER + value)
+        if ud.category(value[0])[0] == "M":
+            return _state(self.text + value)
+        if "ᅠ" <= value[0] <= "ᇿ" and len(ud.normalize("NFC", self.text + value)) == len(ud.normalize("NFC", self.text)):
+            return _state(self.text + value)
+        return None
+
+
+_IS_PICTURE = re.compile(f"[{_PICTURE}]").match
+_STATES: dict[tuple[str, bool], Cluster] = {}
+_MOST_STATES = 200_000  #: kept at once; a table that is full is emptied, and states are made again
+
+
+def _state(text: str, joined: bool = False) -> Cluster:
+    key = (text, joined)
+    if key not in _STATES:
+        if len(_STATES) >= _MOST_STATES:
+            _STATES.clear()
+            _START.ahead.clear()
+        _STATES[key] = Cluster(text, joined)
+    return _STATES[key]
+
+
+_START = Cluster("")
+
+
+def clusters(text: str) -> list[Cluster]:
+    """The clusters of a text, each as the state in which it ends."""
+    out, state = [], _START
+    for c in text:
+        ahead = state.ahead
+        if c not in ahead:
+            ahead[c] = state.step(c)
+        if (further := ahead[c]) is None:
+            out.append(state)
+            if c not in _START.ahead:
+                _START.ahead[c] = _START.step(c)
+            further = _START.ahead[c]
+        state = further
+    out.append(state)
+    return out
+
+
+def _compile() -> None:
+    """States of all composed characters, reached from the character and from its parts; raises if these two differ."""
+    for code in [*range(0xC0, 0x3400), *range(0xF900, 0xFB50)]:
+        c = chr(code)
+        parts = ud.normalize("NFD", c)
+        if parts != c and c not in TABLE and (one := [x.forms for x in clusters(c)]) != (two := [x.forms for x in clusters(parts)]):
+            raise ValueError(f"{c!r} and its parts differ: {one} and {two}")
 
 
-@lru_cache(maxsize=65536)
-def _transduce(run: str) -> str:
-    """Widths, ligatures, spaces, hyphens, invisible characters and composed accents of a run."""
-    joined = False
-    if _JOINER in run and _KEEP not in run:  # a joiner inside a pictograph makes another picture of it
-        bare = "".join(c for c in run if c == _JOINER or TABLE.get(c) != "")
-        run = _PICTURE_JOIN.sub(_KEEP, bare)
-        joined = _KEEP in run
-    run = ud.normalize("NFC", run.translate(_CODES))
-    return run.replace(_KEEP, _JOINER) if joined else run
+_compile()
 
 
-def _unify(text: str) -> str:
-    return _RUN.sub(lambda m: _transduce(m[0]), text)
+def _class(chars: list[str]) -> str:
+    """A character class, in ranges."""
+    out, codes = [], sorted(map(ord, chars))
+    for k, code in enumerate(codes):
+        if k and code == codes[k - 1] + 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a < b else re.escape(chr(a)) for a, b in out)
 
 
-@lru_cache(maxsize=4096)
-def _alphabet(c: str) -> str | None:
-    """The alphabet of a letter, of its base if it has accents."""
-    name = ud.name(ud.normalize("NFD", c)[0], "")
-    return next((a for a in ("latin", "cyrillic", "greek") if name.startswith(a.upper())), None)
+_EVERY = [chr(c) for c in [*range(0x80, 0xD800), *range(0xE000, 0x20000), *range(0xE0100, 0xE01F0)]]
+_MARKS = _class([c for c in _EVERY if ud.category(c)[0] == "M"])
+_GOES_ON = _MARKS + _class([c for c, v in TABLE.items() if not v or ud.category(v[0])[0] == "M"]) + "ᅠ-ᇿ"
+_CHANGES = _class([c for c in _EVERY if c in TABLE or not ud.is_normalized("NFC", c)])
+#: Clusters that may change: everything else passes untouched.
+_SPOT = f"(?:[{_CHANGES}]|[\\s\\S](?=[{_GOES_ON}]))[{_GOES_ON}]*(?:(?<=[{INVISIBLE}])[{_PICTURE}][{_GOES_ON}]*)*"
+_SPOTS = re.compile(_SPOT)
+_WORD = f"[^\\W\\d_](?:[^\\W\\d_]|[{_MARKS}{INVISIBLE}])*"
+_TOKENS = re.compile(f"(?P<word>{_WORD})|{_SPOT}")
+_OTHERS = re.compile(f"[{_BLOCKS}]")
 
 
-def _decides(word: str) -> str | None:
-    """The alphabet that a letter without look-alikes gives the word; the first such letter counts."""
-    for c in word:
-        base = ud.normalize("NFD", c)[0] if c > "\x7f" else c
-        if base in _TO_LATIN or base in _TO_CYRILLIC or base in _TO_GREEK:
-            continue
-        if alphabet := _alphabet(c):
-            return alphabet
-    return None
+@lru_cache(maxsize=65536)
+def _read(word: str) -> tuple[str | None, frozenset[str]]:
+    """The alphabet that a word's first deciding letter gives it, "open" if none does, None if it holds no letter
+    that could change, and the alphabets it is written in."""
+    found = clusters(word)
+    script = next((c.script for c in found if c.script in ALPHABETS), None)
+    held = {c.script for c in found}
+    return script or ("open" if "open" in held else None), frozenset(c.own for c in found if c.own)
 
 
-def _into(word: str, alphabet: str) -> str:
-    """The word with its look-alikes in the alphabet; accents stay with their letters."""
-    if word.isascii() and alphabet == "latin":
-        return word
-    return ud.normalize("NFC", ud.normalize("NFD", word).translate(_TRANSLATE[alphabet]))
+@lru_cache(maxsize=65536)
+def _written(run: str, alphabet: str | None) -> str:
+    return "".join([c.forms[alphabet] for c in clusters(run)])
 
 
 def consistent(text: str | None) -> str | None:
     """The consistent form of a text; null for null."""
     if text is None or text.isascii():
         return text
-    text = _unify(text)
-    if not _LOOKALIKE.search(ud.normalize("NFD", text)):
-        return text
-    words = list(_WORD.finditer(text))
-    scripts = [_decides(m[0]) for m in words]
-    known = [s for s in scripts if s]
-    if known:
-        last = known[0]
-    else:
-        counts = {"latin": 0, "cyrillic": 0, "greek": 0}
-        for m in words:
-            for c in m[0]:
-                counts[_alphabet(c) or "latin"] += 1
-        last = max(counts, key=counts.get)
-    out, at = [], 0
-    for m, script in zip(words, scripts, strict=True):
-        last = script or last
-        out += text[at : m.start()], _into(m[0], last)
+    if not _OTHERS.search(text):
+        return _SPOTS.sub(lambda m: _written(m[0], None), text)
+    out: list[str] = []
+    waits: list[int] = []  # words before the first that decides
+    last, at, alphabets = None, 0, set()
+    for m in _TOKENS.finditer(text):
+        token = m[0]
+        out.append(text[at : m.start()])
         at = m.end()
+        if m.lastgroup != "word":
+            out.append(_written(token, None))
+            continue
+        script, own = _read(token)
+        if script is None:
+            out.append(_written(token, None))
+            continue
+        if script != "open" and script != last:
+            last = script
+            for k in waits:
+                out[k] = _written(out[k], last)
+            waits = []
+        if last is None:
+            waits.append(len(out))
+            alphabets |= own
+            out.append(token)
+        else:
+            out.append(_written(token, last))
+    for k in waits:
+        out[k] = _written(out[k], "latin" if len(alphabets) > 1 else None)
     out.append(text[at:])
     return "".join(out)
 
 
-@lru_cache(maxsize=65536)
-def _bare(run: str) -> str:
-    return ud.normalize("NFC", ud.normalize("NFD", _transduce(run)).translate(_TRANSLATE["latin"]))
+_LATIN = {
+    ord(c): v for c in map(chr, [*range(0x250, 0x2B0), *range(0x370, 0x590), *range(0x13A0, 0x1400), *range(0x1F00, 0x2000)])
+    if (v := ud.normalize("NFC", ud.normalize("NFD", c).translate(_INTO["latin"]))) != c
+}
 
 
 def skeleton(text: str) -> str:
     """The consistent form with every look-alike as its Latin letter: for comparisons of passages
     that stand among words of any alphabet."""
-    return text if text.isascii() else _RUN.sub(lambda m: _bare(m[0]), text)
+    if text.isascii():
+        return text
+    text = _SPOTS.sub(lambda m: _written(m[0], "latin"), text)
+    return text.translate(_LATIN) if _OTHERS.search(text) else text
 
 
 def consistent_text(text: Column) -> Column:
@@ -218,3 +319,19 @@ def look_alike_pairs(documents: DataFrame, id_col: str = "doc_id", text_col: str
     return pairs.select(
         F.least("__a", "__b").alias("doc_a"), F.greatest("__a", "__b").alias("doc_b")
     ).where("doc_a < doc_b").distinct()
+
+
+def look_alike_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id): one row per document with a text that isn't blank, with the least id among those of its consistent
+    form. Documents look the same just if their classes are equal, so no pairs are made, however many copies a text has:
+    the least id of a form combines on the map side, and forms of many documents are looked up as hot keys.
+
+    Null and blank texts have no class; repeated rows give a row each; an empty table gives none.
+    """
+    prepare(documents.sparkSession)
+    text = F.col(text_col)
+    form = consistent_text(text)
+    digest = F.unhex(F.substring(F.sha2(form, 256), 1, 32))
+    keyed = cut(documents.select(F.col(id_col).alias("__id"), F.when(form.rlike(r"\S"), digest).alias("__form")).where("__form is not null"))
+    least = keyed.groupBy("__form").agg(F.min("__id").alias("class_id"))
+    return look_up(keyed, least, "__form").select(F.col("__id").alias(id_col), "class_id")

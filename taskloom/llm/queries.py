@@ -32,6 +32,20 @@ def p1_balance(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("project").alias("n_projects"))
 
 
+def p1_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What every division must keep: all rows once, no project divided, splits as near to 80/10/10 as half the largest project or a row."""
+    rows, names = p1_splits(spark, folder), list(splits.PROPORTIONS)
+    by = rows.groupBy("project").agg(F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("split") == s).alias(s) for s in names))
+    used = sum((F.col(s) > 0).cast("int") for s in names)
+    out = by.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_projects"), F.count_if(used != 1).alias("n_divided"),
+        F.max("n").alias("most"), *(F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in names),
+    )
+    off = F.greatest(*(F.abs(F.col(s) - F.col("n_rows") * p) for s, p in splits.PROPORTIONS.items()))
+    near = off <= F.greatest(F.col("most") / 2, F.lit(1.0))
+    return out.select("n_rows", "n_projects", "n_divided", near.alias("near"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked_pairs(_texts(spark, folder), table(spark, folder, "eval_instances"))
 
@@ -61,35 +75,54 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return canon.look_alike_pairs(_texts(spark, folder))
 
 
+def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return canon.look_alike_classes(_texts(spark, folder))
+
+
 def p8_text(spark: SparkSession, folder: str) -> DataFrame:
     return canon.consistent_documents(_texts(spark, folder))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        p1_found, p1_splits, p1_balance, p3_found, p3_leaks, p4_found, p4_passages, p6_ids, p7_containers, p8_found, p8_text,
+        p1_found, p1_splits, p1_balance, p1_check, p3_found, p3_leaks, p4_found, p4_passages, p6_ids, p7_containers,
+        p8_found, p8_classes, p8_text,
     )
     return {f.__name__: f for f in found}
 
 
+# The project that a ``repo`` value names, and the components of former names.
+_PROJECT = r"""
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      lower(trim(repo)),
+      '^[a-z][a-z0-9+.-]*://[^/]+/+', ''), '^[^/@: ]+@[^/: ]+[:/]', ''), '(\.git)?/*$', ''),
+      '^(?:.*/)?([^/]+?)__([^/]+)\.[0-9a-f]{7,40}$', '\1/\2'), '^([^/]+?)__([^/]+)$', '\1/\2'),
+      '^.*/([^/]+/[^/]+)$', '\1')
+"""
+_COMPONENTS = """
+    link AS (SELECT DISTINCT lower(owner || '/' || repo) AS a, lower(trim(former_name)) AS b FROM profiles WHERE former_name IS NOT NULL),
+    edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+    reach(n, r) AS (SELECT a, a FROM edge UNION SELECT reach.n, edge.b FROM reach JOIN edge ON reach.r = edge.a),
+    least AS (SELECT n, min(r) AS component FROM reach GROUP BY n)
+"""
+_PLACED = f"""
+    {_COMPONENTS},
+    named AS (SELECT row_id, coalesce(nullif({_PROJECT}, ''), CASE WHEN regexp_matches(lower(trim(instance_id)), '^(.+?)__(.+)\\.[0-9a-f]{{7,40}}\\.[^.]+$')
+                     THEN regexp_replace(lower(trim(instance_id)), '^(.+?)__(.+)\\.[0-9a-f]{{7,40}}\\.[^.]+$', '\\1/\\2')
+                     WHEN trim(instance_id) <> '' THEN 'id:' || lower(trim(instance_id)) END, 'row:' || row_id, 'row:') AS project FROM task_instances),
+    placed AS (SELECT row_id, coalesce(least.component, named.project) AS component FROM named LEFT JOIN least ON named.project = least.n)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    name = r"""
-      regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-        lower(trim(repo)),
-        '^[a-z][a-z0-9+.-]*://[^/]+/+', ''), '^[^/@: ]+@[^/: ]+[:/]', ''), '(\.git)?/*$', ''),
-        '^(?:.*/)?([^/]+?)__([^/]+)\.[0-9a-f]{7,40}$', '\1/\2'), '^([^/]+?)__([^/]+)$', '\1/\2'),
-        '^.*/([^/]+/[^/]+)$', '\1')
-    """
     return {
         "p1_found": f"""
-            WITH RECURSIVE named AS (SELECT DISTINCT repo, {name} AS project FROM task_instances WHERE repo IS NOT NULL),
-            link AS (SELECT DISTINCT lower(owner || '/' || repo) AS a, lower(trim(former_name)) AS b
-                     FROM profiles WHERE former_name IS NOT NULL),
-            edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
-            reach(n, r) AS (SELECT a, a FROM edge UNION SELECT reach.n, edge.b FROM reach JOIN edge ON reach.r = edge.a),
-            least AS (SELECT n, min(r) AS component FROM reach GROUP BY n),
+            WITH RECURSIVE {_COMPONENTS}, named AS (SELECT DISTINCT repo, {_PROJECT} AS project FROM task_instances WHERE repo IS NOT NULL),
             placed AS (SELECT named.repo, coalesce(least.component, named.project) AS component
                        FROM named LEFT JOIN least ON named.project = least.n)
             SELECT x.repo AS repo_a, y.repo AS repo_b FROM placed x JOIN placed y USING (component) WHERE x.repo < y.repo
         """,
+        "p1_check": f"""
+            WITH RECURSIVE {_PLACED} SELECT count(*) AS n_rows, count(DISTINCT component) AS n_projects, 0::BIGINT AS n_divided, true AS near FROM placed
+        """,
     }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import rank_within
 from ..operators.graph import components
-from ..operators.skew import heavy_keys
+from ..operators.skew import look_up
 from ..session import cut, prepare
 
 PROPORTIONS = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -128,47 +128,60 @@ def same_project_pairs(instances: DataFrame, profiles: DataFrame) -> DataFrame:
 # --- balance ----------------------------------------------------------------------------------------
 
 
-def difference_bins(weights: dict[int, int], bins: int) -> tuple[dict[int, tuple[int, list[int]]], list[int]]:
+def _differenced(parts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Partial solutions, each its bins' sums in descending order, combined into one: the two with the largest differences
+    again and again, the fullest bins of one with the emptiest of the other. Returns its sums and, for each part, the
+    bin of the result that each of the part's bins ended in."""
+    bins, made = len(parts[0]), len(parts)
+    heap = [(int(p[-1] - p[0]), i, p) for i, p in enumerate(parts)]
+    heapq.heapify(heap)
+    merges: list[tuple[int, int, np.ndarray]] = []
+    while len(heap) > 1:
+        _, i, a = heapq.heappop(heap)
+        _, j, b = heapq.heappop(heap)
+        sums = a + b[::-1]
+        order = np.argsort(-sums, kind="stable")
+        sums = sums[order]
+        merges.append((i, j, order.astype(np.uint16)))
+        heapq.heappush(heap, (int(sums[-1] - sums[0]), made + len(merges) - 1, sums))
+    where: dict[int, np.ndarray] = {heap[0][1]: np.arange(bins, dtype=np.uint16)}
+    for k in range(len(merges) - 1, -1, -1):  # back from the result to the parts
+        i, j, order = merges[k]
+        at = np.empty(bins, dtype=np.uint16)
+        at[order] = where.pop(made + k)
+        where[i], where[j] = at, at[::-1]
+    return heap[0][2], [where[i] for i in range(made)]
+
+
+def difference_bins(weights: dict[int, int], bins: int, block: int = 8192) -> tuple[dict[int, tuple[int, np.ndarray]], list[int]]:
     """Components of weights ``{weight: how many}`` in ``bins`` equal bins by largest differencing.
 
-    Of ``c`` components of one weight, ``c // bins`` go to every bin: no difference. The rest are
-    partial solutions of one filled bin; the two with the largest differences are combined again and
-    again, the fullest bins of one with the emptiest of the other. Returns, by weight, how many every bin
-    gets and the bins of the others, and the bins' sums.
+    Of ``c`` components of one weight, ``c // bins`` go to every bin: no difference. The rest of a weight, fewer than
+    ``bins``, lie in bins of their own, as combining equal weights first puts them: one partial solution for each
+    weight, whatever its count. These are combined by largest differencing, ``block`` weights at a time from the largest
+    on, and then the blocks' results likewise, so sums are held for one block and for one result a block.
+    Returns, by weight, how many every bin gets and the bins of the others, and the bins' sums.
     """
     even = {w: c // bins for w, c in weights.items()}
     base = sum(w * n for w, n in even.items())
-    heap: list[tuple] = []
-    for w in sorted(weights, reverse=True):
-        for _ in range(weights[w] % bins):
-            sums = np.zeros(bins, dtype=np.int64)
-            sums[0] = w
-            heap.append((-w, len(heap), sums, [(w, None)] + [None] * (bins - 1)))
-    heapq.heapify(heap)
-    made = len(heap)
-    while len(heap) > 1:  # sums descend; contents are linked lists of (weight or pair, rest)
-        _, _, s1, c1 = heapq.heappop(heap)
-        _, _, s2, c2 = heapq.heappop(heap)
-        sums = s1 + s2[::-1]
-        mixed = [x if y is None else y if x is None else ((x, y), None) for x, y in zip(c1, reversed(c2), strict=True)]
-        order = np.argsort(-sums, kind="stable")
-        sums = sums[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), made, sums, [mixed[i] for i in order]))
-        made += 1
-    placed: dict[int, tuple[int, list[int]]] = {w: (n, []) for w, n in even.items()}
-    total = [base] * bins
-    if heap:
-        _, _, sums, contents = heap[0]
-        total = [base + int(s) for s in sums]
-        for bin_no, content in enumerate(contents):
-            stack = [content] if content else []
-            while stack:
-                head, _ = stack.pop()
-                if isinstance(head, tuple):
-                    stack.extend(head)
-                else:
-                    placed[head][1].append(bin_no)
-    return placed, total
+    rest = [(w, weights[w] % bins) for w in sorted(weights, reverse=True) if weights[w] % bins]
+    placed = {w: (n, np.zeros(0, dtype=np.uint16)) for w, n in even.items()}
+    if not rest:
+        return placed, [base] * bins
+    results, held = [], []
+    for at in range(0, len(rest), block):
+        parts = []
+        for w, c in rest[at : at + block]:
+            parts.append(np.zeros(bins, dtype=np.int64))
+            parts[-1][:c] = w
+        sums, where = _differenced(parts)
+        results.append(sums)
+        held.append([bin_of[:c].copy() for (_, c), bin_of in zip(rest[at : at + block], where, strict=True)])
+    sums, last = _differenced(results)
+    for k, (many, final) in enumerate(zip(held, last, strict=True)):
+        for (w, _), own in zip(rest[k * block :], many, strict=False):
+            placed[w] = (even[w], final[own])
+    return placed, [base + int(s) for s in sums]
 
 
 def allocate_bins(sums: list[int], shares: list[float]) -> tuple[list[int], float]:
@@ -219,7 +232,7 @@ def plan_splits(weights: dict[int, int], shares: list[float]) -> dict[int, list[
         if best is None or off < best:
             best, each = off, np.bincount(of, minlength=len(shares))
             plan = {
-                w: np.cumsum(each * n + np.bincount([of[b] for b in rest], minlength=len(shares))).tolist()
+                w: np.cumsum(each * n + np.bincount(np.array(of)[rest], minlength=len(shares))).tolist()
                 for w, (n, rest) in placed.items()
             }
     return plan
@@ -229,7 +242,7 @@ def assign_splits(weights: DataFrame, key: str, weight: str, proportions: dict[s
     """(key, weight, split): every key, with its weight as rows, in one split.
 
     Only the histogram of weights reaches the driver: the weights of N rows have at most sqrt(2 N) different
-    values. Keys take the planned places by their rank within their weight.
+    values, and the plan takes a few kilobytes for each, whatever the number of components. Keys take the planned places by their rank within their weight.
     """
     spark = prepare(weights.sparkSession)
     table = weights.select(F.col(key).alias("__key"), F.col(weight).cast("bigint").alias("__weight"))
@@ -256,18 +269,6 @@ def assign_splits(weights: DataFrame, key: str, weight: str, proportions: dict[s
     )
 
 
-def look_up(rows: DataFrame, mapping: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Inner join of rows with a table unique in ``key``, for keys of any skew.
-
-    Keys of more than ``share`` of the rows, fewer than ``1 / share``, are broadcast; rows of all
-    others are joined by a shuffle in which none of them is large.
-    """
-    hot = mapping.join(F.broadcast(heavy_keys(rows, key, share).select(F.col("__key").alias(key))), key, "left_semi")
-    hot = F.broadcast(hot)
-    cold = rows.join(hot.select(key), key, "left_anti").join(mapping, key)
-    return rows.join(hot, key).unionByName(cold)
-
-
 def project_splits(
     instances: DataFrame, profiles: DataFrame, proportions: dict[str, float] = PROPORTIONS
 ) -> DataFrame:

@@ -75,3 +75,33 @@ def test_text_column(spark):
     rows = [(1, "plain"), (2, None), (3, ""), (4, "cafе́ " * 20_000)]
     got = {r.doc_id: r.text for r in canon.consistent_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {1: "plain", 2: None, 3: "", 4: "café " * 20_000}
+
+
+def test_other_alphabets_and_mixtures():
+    same = [("раураl", "paypal"), ("ոice one", "nice one"), ("ᎪBC tree", "ABC tree"), ("Ⅳ", "IV"), ("ɡreat", "great"), ("ｶﾞ", "ガ"), ("각", "각")]
+    for a, b in same:
+        assert canon.consistent(a) == canon.consistent(b)
+    for text in ("բարև ոս", "ᎠᎴ ᎠᏂ", "ısı", "μ and λ"):
+        assert canon.consistent(text) == text
+
+
+def test_a_cluster_is_read_whole():
+    assert [c.forms[None] for c in canon.clusters("e​́x̣̂👩‍💻a")] == ["é", "x̣̂", "👩‍💻", "a"]
+    assert canon.consistent("q̣̂") == canon.consistent("q̣̂")
+
+
+def test_full_tables_of_states_are_emptied(monkeypatch):
+    monkeypatch.setattr(canon, "_MOST_STATES", 50)
+    text = "".join(f"{b}{m}" for b in "abcdefg" for m in map(chr, range(0x300, 0x340)))
+    canon._written.cache_clear()
+    canon._STATES.clear()
+    canon._START.ahead.clear()
+    assert canon.consistent(text) == ud.normalize("NFC", text) and len(canon._STATES) <= 51
+
+
+def test_classes(spark):
+    rows = [(5, "café"), (3, "café"), (9, "cafe"), (7, None), (8, " "), (4, "")] + [(100 + i, "hot") for i in range(300)]
+    table = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, class_id int").drop("class_id")
+    got = {r.doc_id: r.class_id for r in canon.look_alike_classes(table).collect()}
+    assert got == {5: 3, 3: 3, 9: 9} | {100 + i: 100 for i in range(300)}
+    assert canon.look_alike_classes(table.limit(0)).collect() == []

@@ -100,3 +100,27 @@ def test_many_mirror_organisations_change_nothing(spark):
     for most in (1000, 0):
         got = splits.with_project(names, p, "n", most).collect()
         assert sorted(map(str, ((r.repo, r.n) for r in got))) == sorted(map(str, NAMES))
+
+
+def test_memory_of_differencing_is_bounded():
+    import tracemalloc
+
+    weights = {w: 199 for w in range(1, 10_001)}
+    tracemalloc.start()
+    placed, sums = splits.difference_bins(weights, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+    check = [0] * 200
+    for w, (each, rest) in placed.items():
+        assert each == 0 and len(rest) == 199 == len(set(rest.tolist()))
+        for b in rest.tolist():
+            check[b] += w
+    assert check == sums and max(sums) - min(sums) <= 2
+
+
+def test_blocks_change_only_the_order_of_differencing():
+    weights = {w: w % 7 + 1 for w in range(1, 200)}
+    placed, sums = splits.difference_bins(weights, 10, block=16)
+    assert all(each * 10 + len(rest) == weights[w] for w, (each, rest) in placed.items())
+    assert sum(sums) == sum(w * c for w, c in weights.items()) and max(sums) - min(sums) <= 200
