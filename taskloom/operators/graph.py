@@ -2,18 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, prepare
+from .skew import look_up
+
+
+def _merged(links: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, component) of all links, given in one task: trees whose root is their least node."""
+    root: dict = {}
 
+    def find(x: object) -> object:
+        top = x
+        while root[top] != top:
+            top = root[top]
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
 
-def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
+    for batch in links:
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist(), strict=True):
+            root.setdefault(a, a)
+            root.setdefault(b, b)
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    nodes = sorted(root)
+    yield pd.DataFrame({"node": nodes, "component": [find(n) for n in nodes]})
+
+
+def components(edges: DataFrame, most_rounds: int = 100, few: int = 200_000) -> DataFrame:
     """(node, component): every node of ``edges`` (a, b) with the least node it is linked to.
 
-    Alternating stars: each node's larger neighbours are linked to its least one, then each node with
-    its smaller neighbours to the least of them, until nothing changes, after a logarithmic number of rounds.
-    A hub's neighbours are combined on the map side; every round is cut by a reliable checkpoint.
+    At most ``few`` distinct links, which are counted, are merged in one task. More go through alternating stars, with
+    the same result: each node's larger neighbours are linked to its least one, then each node with its smaller
+    neighbours to the least of them, until nothing changes, after a logarithmic number of rounds. A hub's neighbours are
+    combined on the map side; every round is cut by a reliable checkpoint.
     """
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -21,9 +49,9 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
             pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         )
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        near = both.join(least, F.col("a") == F.col("u"))
+        near = look_up(both.withColumnRenamed("a", "u"), least, "u")
         if large:
-            out = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            out = near.where("b > u").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
             out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
                 least.select(F.col("u").alias("a"), F.col("m").alias("b"))
@@ -33,6 +61,11 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     edges = edges.select("a", "b").where("a is not null and b is not null")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     state, before = cut(edges.where("a <> b").distinct()), None
+    if state.limit(few + 1).count() <= few:
+        kind = dict(edges.dtypes)["a"]
+        prepare(edges.sparkSession)
+        found = state.repartition(1).mapInPandas(_merged, f"node {kind}, component {kind}")
+        return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     for _ in range(most_rounds):
         state = cut(star(star(state, large=True), large=False))
         now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -57,21 +90,38 @@ def call_edges(functions: DataFrame) -> DataFrame:
     return called.join(named, "name").where("caller <> callee").select("caller", "callee").distinct()
 
 
+#: Endings of file names that a module's name may carry; they are no segment.
+_ENDINGS = "jsx?|tsx?|[cm]js|vue|py|rs|go|rb|php|java|cs|cc|cpp|c|hpp|h"
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """The distinct substrings of ``size`` characters."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
+
+
 def import_edges(imports: DataFrame, files: DataFrame) -> DataFrame:
-    """(file_path, target): an import of two or more segments to files whose path has its last segment as
-    a part (stem or folder). Paths are cut into parts, so the match is an equality join.
+    """(file_path, target): an import of two or more segments to every file whose path contains its last segment, the
+    importing file included.
 
-    imports: file_path, module (segments joined by ``::``, ``.`` or ``/``); files: file_path.
+    imports: file_path, module (segments joined by ``::``, ``.`` or ``/``); files: file_path. Containment becomes an
+    equality join: paths are listed under their pieces of one to three characters, a segment is looked up under the one
+    of its pieces that the fewest paths hold, and what meets is checked. Nulls and shorter imports give no edge.
     """
-    parts = F.split("module", r"::|[./]")
+    parts = F.filter(F.split(F.regexp_replace("module", rf"[.](?:{_ENDINGS})$", ""), r"::|[./]"), lambda p: p != "")
     wanted = imports.select("file_path", parts.alias("p")).where(F.size("p") >= 2).select(
         "file_path", F.element_at("p", -1).alias("part")
     ).distinct()
-    held = files.select(
-        F.col("file_path").alias("target"),
-        F.explode(F.array_distinct(F.split(F.regexp_replace("file_path", r"\\.[^./]*$", ""), "[/.]"))).alias("part"),
-    )
-    return wanted.join(held, "part").where("file_path <> target").select("file_path", "target").distinct()
+    paths = files.select(F.col("file_path").alias("target")).where("target is not null").distinct()
+    held = paths.select("target", F.explode(F.concat(*(_pieces(F.col("target"), n) for n in (1, 2, 3)))).alias("piece"))
+    rare = held.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = F.coalesce(*(F.nullif(_pieces(F.col("part"), n), F.array().cast("array<string>")) for n in (3, 2, 1)))
+    by_piece = wanted.select("part").distinct().select("part", F.explode(own).alias("piece"))
+    best = by_piece.join(rare, "piece", "left").groupBy("part").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece"))["piece"].alias("piece")
+    )
+    met = best.join(held, "piece").where(F.contains("target", F.col("part"))).select("part", "target")
+    return wanted.join(met, "part").select("file_path", "target").distinct()
 
 
 def reach(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:

@@ -127,3 +127,22 @@ def test_statistics(spark):
     assert (one.n, one["mean"], one.std, one["median"]) == (1, 4.0, 0.0, 4.0)
     pairs = spark.createDataFrame([("e", "e"), ("e", "h"), (None, "e"), ("h", "e"), ("m", "e")], "t string, g string")
     assert tuple(aggregates.accuracy(pairs, "t", "g", ("e", "h")).first()) == (4, 0.25, 2)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_above_the_bound_are_the_same(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(200, i) for i in range(100, 130)] + [(500, 500)]
+    table = spark.createDataFrame(edges, "a bigint, b bigint")
+    one = {r.node: r.component for r in graph.components(table).collect()}
+    assert one == {r.node: r.component for r in graph.components(table, few=0).collect()}
+
+
+def test_import_edges(spark):
+    files = ["a/util.js", "b/c.js", "src/payment/service.rs", "src/x.rs", "lib/utility/y.py"]
+    imports = [("b/c.js", "./a/util.js"), ("src/x.rs", "crate::payment::service"), ("src/x.rs", "service"), ("src/x.rs", "a::b::x"),
+               ("b/c.js", None), ("src/x.rs", "crate::nothing"), ("src/x.rs", "crate::payment::service")]
+    f = spark.createDataFrame([(x,) for x in [*files, files[0], None]], "file_path string")
+    got = {tuple(r) for r in graph.import_edges(spark.createDataFrame(imports, "file_path string, module string"), f).collect()}
+    brute = {(s, t) for s, part in (("b/c.js", "util"), ("src/x.rs", "service"), ("src/x.rs", "x")) for t in files if part in t}
+    assert got == brute
