@@ -1,8 +1,9 @@
 """Semi-structured log text into entries: timestamp, level, component, message and line range.
 
-Every line is collapsed to a *shape signature* (runs of digits to ``9``, words and names to ``a``, level
-words to ``L``, month names to ``M``). Each distinct signature is resolved once to the layouts whose shape
-it has; the resolved signatures are broadcast, and a line tries only the layouts of its signature.
+Every line that may start an entry is collapsed to a *shape signature* of its header: times become ``T`` (``S`` without a
+year, ``G`` if a level's letter is before them), level words ``L``, numbers ``9``, names ``a``, and brackets around anything
+else ``[a]``; the signature ends where words of a message begin. Each distinct signature is resolved once to the layouts
+whose shape it has; the resolved signatures are broadcast, and a line tries only the layouts of its signature.
 Lines of no layout are continuations of the entry before them. An output is one row and stays in its
 task, so no text is shuffled; only distinct signatures are.
 """
@@ -28,7 +29,7 @@ ENTRY_SCHEMA = (
 # Level words and the levels they mean; month names; keys of structured records.
 LEVELS = {
     "TRACE": "TRACE", "DEBUG": "DEBUG", "INFO": "INFO", "WARN": "WARN", "WARNING": "WARN",
-    "ERROR": "ERROR", "FATAL": "FATAL", "CRITICAL": "FATAL",
+    "ERROR": "ERROR", "FATAL": "FATAL", "CRITICAL": "FATAL", "NOTICE": "INFO",
     "T": "TRACE", "D": "DEBUG", "I": "INFO", "W": "WARN", "E": "ERROR", "F": "FATAL", "C": "FATAL",
 }
 MONTHS = {m: i for i, m in enumerate("Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split(), 1)}
@@ -37,55 +38,51 @@ LEVEL_KEYS = ("level", "severity", "levelname", "lvl", "log.level", "loglevel")
 COMPONENT_KEYS = ("component", "logger", "target", "module", "name", "logger_name", "program", "source", "file")
 MESSAGE_KEYS = ("message", "msg", "event", "text")
 
-#: Characters of a collapsed shape that tell the layout of a header whose parts are of bounded length; what follows
-#: is the shape of the message. Headers with threads, names or keys of any length (``_LONG``) end where these end.
-SHAPE_CHARS = 24
-
-_WORD = "TRACE|DEBUG|INFO|WARNING|WARN|ERROR|FATAL|CRITICAL"
+_WORD = "TRACE|DEBUG|INFO|NOTICE|WARNING|WARN|ERROR|FATAL|CRITICAL"
 _ANSI = re.compile(r"\x1b(?:\[[0-?]*[ -/]*[@-~]|\][^\x07\x1b]*(?:\x07|\x1b\\)|[@-Z\\^_])")
 _DATE = r"\d{4}[-/]\d\d[-/]\d\d[T ]\d\d:\d\d:\d\d(?:[.,]\d{1,9})?(?:Z|[+-]\d\d:?\d\d)?"
+_MONTH_DATE = rf"(?:{'|'.join(MONTHS)}) [ \d]\d \d\d:\d\d:\d\d"
+_LETTER_DATE = r"\d{4} \d\d:\d\d:\d\d\.\d+"
 _LEVEL = rf"(?i:{_WORD})"
 _NAME = r"[^\s:\[\]]+(?:::[^\s:\[\]]+)*"
+#: A name that may stand before a message without a mark between them: one of several parts.
+_PARTED = r"[^\s:\[\]]+(?:(?:\.|::)[^\s:\[\]]+)+"
 
-#: Layouts: (name, shape a signature must have, extraction with the groups ts, level, component).
+#: Layouts: (name, shape a signature must start with, extraction with the groups ts, level, component).
 LAYOUTS: list[tuple[str, str, str]] = [
-    ("bracket_time_in", r"\[9+-9+-9+ 9+:", rf"\[(?P<ts>{_DATE})\] (?P<level>{_LEVEL}) in (?P<component>[^\s:]+): ?"),
-    ("bracket_time_level", r"\[9+-9+-9+[a ]9+:",
-     rf"\[(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +(?P<component>{_NAME})\] ?"),
-    ("letter_date", r"a9+ 9+:9+:9+\.9+ +9+ ",
-     r"(?P<level>[TDIWEFC])(?P<ts>\d{4} \d\d:\d\d:\d\d\.\d+) +\d+ (?P<component>[^\s:\]]+):\d+\] ?"),
-    ("time_level_pid_thread", r"9+-9+-9+[a ]9+:9+:9+[.,]9+ +L +9+ --- ",
-     rf"(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +\d+ --- \[[^\]]*\] +(?P<component>\S+) *: ?"),
-    ("dashed", r"9+-9+-9+[a ]9+:9+:9+[.,]?9* - ",
-     rf"(?P<ts>{_DATE}) - (?P<component>\S+) - (?P<level>{_LEVEL}) - ?"),
-    ("time_thread_level", r"9+-9+-9+[a ]9+:9+:9+[.,]?9* \[[^\]]*\] +L ",
-     rf"(?P<ts>{_DATE}) +\[[^\]]*\] +(?P<level>{_LEVEL}) +(?P<component>\S+) +- ?"),
-    ("time_bracket_level", r"9+-9+-9+[a ]9+:9+:9+[^ ]* \[L\] ",
-     rf"(?P<ts>{_DATE}) \[(?P<level>{_LEVEL})\] (?P<component>{_NAME}): ?"),
-    ("time_level_target", r"9+-9+-9+[a ]9+:9+:9+[^ ]* +L ",
-     rf"(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +(?P<component>{_NAME}): ?"),
-    ("slash_time", r"9+/9+/9+ 9+:9+:9+", rf"(?P<ts>{_DATE}) (?P<component>{_NAME}): ?"),
-    ("syslog", r"M +9+ 9+:9+:9+ ",
-     r"(?P<ts>[A-Z][a-z]{2} [ \d]\d \d\d:\d\d:\d\d) \S+ (?P<component>[^\s\[\]:]+)(?:\[\d+\])?: ?"),
-    ("level_logger_file", r"L +[^ ]+:[^ ]+:9+ ", rf"(?P<level>{_LEVEL}) +(?P<component>[^\s:]+):[^\s:]+:\d+ ?"),
-    ("level_logger", r"L:[^ :]+:", rf"(?P<level>{_LEVEL}):(?P<component>[^\s:]+):"),
-    ("pairs", r"[aLM_.@-]+=", r""),
+    ("bracket_time_in", r"\[T\] L a", rf"\[(?P<ts>{_DATE})\] +(?P<level>{_LEVEL}) +in +(?P<component>[^\s:]+): ?"),
+    ("bracket_time_level", r"\[T L ", rf"\[(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +(?P<component>{_NAME})\] ?"),
+    ("letter_date", r"G 9 ", rf"(?P<level>[TDIWEFC])(?P<ts>{_LETTER_DATE}) +\d+ +(?P<component>[^\s:\]]+):\d+\] ?"),
+    ("time_level_pid_thread", r"T L 9 - ", rf"(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +\d+ +--- +\[[^\]]*\] +(?P<component>\S+) *: ?"),
+    ("dashed", r"T - ", rf"(?P<ts>{_DATE}) +- +(?P<component>\S+) +- +(?P<level>{_LEVEL}) +- ?"),
+    ("time_thread_level", r"T \[a\] L ", rf"(?P<ts>{_DATE}) +\[[^\]]*\] +(?P<level>{_LEVEL}) +(?P<component>\S+) +- ?"),
+    ("time_bracket_level", r"T \[L\] ", rf"(?P<ts>{_DATE}) +\[ *(?P<level>{_LEVEL}) *\] +(?P<component>{_NAME}): ?"),
+    ("time_level_thread", r"T L \[a\] ", rf"(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +\[[^\]]*\] +(?P<component>{_NAME})(?: +-|:) ?"),
+    ("time_level_target", r"T L ", rf"(?P<ts>{_DATE}) +(?P<level>{_LEVEL}) +(?:(?P<component>{_NAME})(?: +-|:) ?|(?P<parted>{_PARTED}) +)"),
+    ("time_target", r"T [a9]", rf"(?P<ts>{_DATE}) +(?P<component>{_NAME}): ?"),
+    ("brackets", r"\[T\] ?\[L\] ?\[a\]", rf"\[(?P<ts>{_DATE})\] ?\[ *(?P<level>{_LEVEL}) *\] ?\[ *(?P<component>[^\s\]]+) *\] ?"),
+    ("syslog", r"S ", rf"(?P<ts>{_MONTH_DATE}) +\S+ +(?P<component>[^\s\[\]:]+)(?:\[\d+\])?: ?"),
+    ("level_time_target", r"(?:L|\[L\]) (?:T|\[T\]) ",
+     rf"\[? *(?P<level>{_LEVEL}) *\]? +\[?(?P<ts>{_DATE})\]? +(?:(?P<component>{_NAME})(?: +-|:) ?|(?P<parted>{_PARTED}) +)"),
+    ("level_logger_file", r"L [a9]:[a9]:9", rf"(?P<level>{_LEVEL}) +(?P<component>[^\s:]+):[^\s:]+:\d+(?: |$)"),
+    ("level_logger", r"L:[a9]:", rf"(?P<level>{_LEVEL}):(?P<component>[^\s:]+):"),
+    ("pairs", r"a=", r""),
     ("json", r"\{", r""),
 ]
 _EXTRACT = [re.compile(x) for _, _, x in LAYOUTS]
 _SHAPES = [re.compile(s) for _, s, _ in LAYOUTS]
+#: How a line that starts an entry may begin; any other has an empty signature.
+_MAY_START = re.compile(rf"[\[{{]|\d{{4}}[-/]|[TDIWEFC]\d{{4}} |(?:{'|'.join(MONTHS)}) |{_LEVEL}(?!\w)|[\w.@-]+=")
+_ATOMS = re.compile(
+    rf"(?P<T>{_DATE}(?!\w))|(?P<S>{_MONTH_DATE})|(?P<G>[TDIWEFC]{_LETTER_DATE})|(?P<L>{_LEVEL}(?!\w|[.-]\w))"
+    rf"|(?P<group>\[(?!{_DATE}| *{_LEVEL} *\])[^\[\]]*\])|(?P<number>\d\w*)"
+    r"|(?P<name>[^\W\d][^\s\[\](){}:=,;\"|]*(?:::[^\s\[\](){}:=,;\"|]+)*)|(?P<gap>\s+)|(?P<mark>-+|\W)"
+)
+_MARKS = {"T": "T", "S": "S", "G": "G", "L": "L", "group": "[a]", "number": "9", "name": "a", "gap": " "}
 _PAIR = re.compile(r'([\w.@-]+)=("(?:[^"\\]|\\.)*"|[^\s"]*)(?:\s+|$)')
-_TOKENS = re.compile(r"[^\W\d_]+(?:(?:[_.-]|::)+[^\W\d_]+)*|\d+")
-_KINDS = {w: "L" for word in _WORD.split("|") for w in (word, word.lower(), word.title())} | dict.fromkeys(MONTHS, "M")
 _TIME = re.compile(
     r"(\d{4})[-/](\d\d)[-/](\d\d)[T ](\d\d):(\d\d):(\d\d)(?:[.,](\d{1,9}))?(Z|[+-]\d\d:?\d\d)?$"
 )
-_LONG = re.compile(
-    r"(?P<time>9+-9+-9+[a ]9+:9+:9+[.,]?9* )\[(?!L\])[^\]]*\] L |(?P<file>L [^ ]+:[^ ]+:9+ )|(?P<logger>L:[^ :]+:)|(?P<pair>[aLM_.@-]+=)"
-)
-_SHORT = {"file": "L a:a:9 ", "logger": "L:a:", "pair": "a="}  #: the headers of any length, each as one shape
-_GAPS = re.compile(" {2,}")
-_PHRASE = re.compile(r"(?:a[ ,;'.!?]+)+(?=a)")
 
 
 def plain(line: str) -> str:
@@ -94,22 +91,24 @@ def plain(line: str) -> str:
     return _ANSI.sub("", line).removesuffix("\r") if "\x1b" in line else line
 
 
-def _mark(m: re.Match) -> str:
-    token = m[0]
-    return _KINDS.get(token) or ("9" if token[0].isdecimal() else "a")
-
-
 def signature(line: str) -> str:
-    """Character classes of a line's header: level words L, months M, other words and dotted names a,
-    numbers 9; a phrase of several words counts as one, so that messages add few signatures; spaces count once."""
-    shape = _PHRASE.sub("", _TOKENS.sub(_mark, line))
-    if len(shape) <= SHAPE_CHARS:
-        return shape
-    if "  " in shape:
-        shape = _GAPS.sub(" ", shape)
-    if m := _LONG.match(shape):
-        return f"{m[1]}[a] L " if m.lastgroup == "time" else _SHORT[m.lastgroup]
-    return shape[:SHAPE_CHARS]
+    """The shape of the header that a line may start with, up to the first word of a message; empty if it starts with none."""
+    if not _MAY_START.match(line):
+        return ""
+    if line[0] == "{":
+        return "{"
+    out = ""
+    for m in _ATOMS.finditer(line):
+        mark = _MARKS.get(m.lastgroup) or m[0][0]
+        if mark == " " and out[-1:] == "[" or mark == "]" and out[-2:-1] == "L" and out[-1] == " ":
+            out = out.rstrip()  # padding inside brackets
+            mark = mark.strip()
+        out += mark
+        if mark == "=":
+            return "a="
+        if mark == " " and (out[-2:-1] == "a" or out[-4:-1] == "9 9"):
+            break
+    return out
 
 
 def resolve(shape: str) -> tuple[int, ...]:
@@ -201,7 +200,8 @@ def header(line: str, layouts: tuple[int, ...], year: int | None) -> tuple[str |
             parts = m.groupdict()
             level = parts.get("level")
             ts = parts.get("ts")
-            return ts and _instant(ts, year), level and LEVELS[level.upper()], parts["component"], line[m.end() :]
+            component = parts["component"] or parts.get("parted")
+            return ts and _instant(ts, year), level and LEVELS[level.upper()], component, line[m.end() :]
     return None
 
 

@@ -78,3 +78,35 @@ def test_headers_of_any_length(line, want):
     assert loglines.header(line, loglines.resolve(loglines.signature(line)), 2024) == want
     got = list(loglines.entries(f"{LINES[0][0]}\n{line}\nmore", 2024, None))
     assert [e[:2] for e in got] == [(1, 1), (2, 3)]
+
+
+ZONED = "2025-01-02T04:04:05.123+01:00"
+MORE = [
+    ("2025-01-02 03:04:05.123 [http-nio-8080-exec-1] INFO com.acme.App - m", (AT, "INFO", "com.acme.App", "m")),
+    (f"{ZONED}  INFO 4242 --- [main] a.b.C : m", (AT, "INFO", "a.b.C", "m")),
+    (f"{ZONED}  INFO   4242 --- [nio-8080-exec-10]   a.b.C   : m", (AT, "INFO", "a.b.C", "m")),
+    ("2025-01-02T03:04:05.123Z  INFO 4242 --- [main] a.b.C : m", (AT, "INFO", "a.b.C", "m")),
+    (f"{ZONED} - a.b - DEBUG - m", (AT, "DEBUG", "a.b", "m")),
+    (f"{ZONED} [pool 1] WARN  a.b - m", (AT, "WARN", "a.b", "m")),
+    (f"[{ZONED}] ERROR in views: m", (AT, "ERROR", "views", "m")),
+    (f"[{ZONED} WARN  a::b] m", (AT, "WARN", "a::b", "m")),
+    (f"{ZONED} edge: m", (AT, None, "edge", "m")),
+    ("[INFO] 2025-01-02 03:04:05,123 a: m", (AT, "INFO", "a", "m")),
+    ("[INFO ] [2025-01-02 03:04:05,123] a: m", (AT, "INFO", "a", "m")),
+    ("INFO 2025-01-02 03:04:05,123 a.b m", (AT, "INFO", "a.b", "m")),
+    ("INFO 2025-01-02 03:04:05,123 a - m", (AT, "INFO", "a", "m")),
+    ("2025-01-02 03:04:05,123 INFO [main] a.b.C: m", (AT, "INFO", "a.b.C", "m")),
+    ("2025-01-02 03:04:05,123 NOTICE a.b.C m", (AT, "INFO", "a.b.C", "m")),
+    ("[2025-01-02 03:04:05,123][WARN ][o.e.n.Node] m", (AT, "WARN", "o.e.n.Node", "m")),
+    ("WARN  a_1.b-2:f_3.py:4", (None, "WARN", "a_1.b-2", "")),
+]
+
+
+@pytest.mark.parametrize(("line", "want"), MORE)
+def test_zones_paddings_and_more_layouts(line, want):
+    assert loglines.header(line, loglines.resolve(loglines.signature(line)), 2024) == want
+
+
+@pytest.mark.parametrize("line", ["INFO 2025-01-02 03:04:05 started up", "2025-01-02 03:04:05 INFO started up", "[INFO] Building x 1.0", "1 2 3 4", "[1, 2, 3]", "[==] 3 tests ran"])
+def test_more_lines_that_are_no_headers(line):
+    assert list(loglines.entries(line, 2024, None)) == []
