@@ -1,20 +1,20 @@
 """Token ids of whole texts by a public byte-level BPE vocabulary, encoded as a tree of parts.
 
-A part is a monoid element: its text, the ends of its pre-tokens and the ids of each. A long text is
-halved recursively into leaves, leaves are encoded in separate rows (and so in separate tasks), and
-neighbours are joined up the tree. A join re-encodes a window around the boundary: it starts at the
-last pre-token end of the left part whose match cannot depend on what follows, and grows to the right
-until one of its pre-token ends is also one of the right part. The pre-tokenizer is a pattern without
-look-behind that is matched from left to right, so from a shared end on both encodings are the same:
-tokens outside the window are proven to stay, and the result is that of encoding the text at once.
+A part is a monoid element: its text and the ids of its text. A text is halved recursively into leaves, leaves are encoded,
+and neighbours are joined up the tree. A join re-encodes a window around the boundary, which grows on both sides until each
+end is a place where a pre-token ends whatever stands around it: after a letter before anything else, after a number before
+anything else, or after anything before white space. The pre-tokenizer is a pattern without look-behind that is matched from
+left to right, and a match before such a place doesn't depend on what follows it; so texts on both sides of the place are
+encoded alike alone and together, tokens outside the window are proven to stay, and the result is that of encoding the text
+at once. Decoding concatenates bytes up the same tree.
 """
 
 from __future__ import annotations
 
 import base64
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,8 +25,8 @@ from ..session import prepare
 #: Fixed value: the pre-tokenizer pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Characters of a leaf; texts up to this length are one leaf and never shuffled.
-LEAF_CHARS = 8192
+#: Characters of a leaf.
+LEAF_CHARS = 512
 
 
 @lru_cache(maxsize=4)
@@ -39,84 +39,63 @@ def encoding(vocabulary: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Letters, and what may follow them, whose classes are the same in all versions of the standard that a library may hold.
+_LETTER = r"(?<=\p{L})(?<=[A-Za-zÀ-ɏͰ-ϿЀ-ԯぁ-ゖァ-ヺ一-龥가-힣])"
+_AFTER = r"(?=\P{L})(?=[\x00-\x7f -⁯　-〿＀-／])"
+
+
 @lru_cache(maxsize=1)
-def _pattern():
+def _fixed_ends():
+    """Finds where a pre-token ends in any surroundings."""
     import regex
 
-    return regex.compile(PATTERN)
+    return regex.compile(rf"{_LETTER}{_AFTER}|(?<=[0-9])(?=[\x00-\x2f\x3a-\x7f])|(?<=\P{{White_Space}})(?=[ \t\r\n])")
 
 
-class Part:
-    """Text with the ends of its pre-tokens, and where in ``ids`` the tokens of each end."""
+class Part(NamedTuple):
+    """A text and its ids."""
 
-    __slots__ = ("ends", "ids", "stops", "text")
-
-    def __init__(self, text: str, ends: list[int], stops: list[int], ids: list[int]) -> None:
-        self.text, self.ends, self.stops, self.ids = text, ends, stops, ids
+    text: str
+    ids: list[int]
 
 
 def leaf(text: str, vocabulary: str = VOCABULARY) -> Part:
     """A part encoded at once."""
-    ends = [m.end() for m in _pattern().finditer(text)]
-    encode, ids, stops, start = encoding(vocabulary)._encode_single_piece, [], [], 0
-    for end in ends:
-        ids += encode(text[start:end])
-        stops.append(len(ids))
-        start = end
-    return Part(text, ends, stops, ids)
+    return Part(text, encoding(vocabulary).encode_ordinary(text))
+
+
+def _last_end(text: str) -> int:
+    """The last place at which a pre-token surely ends, sought in windows that grow from the text's end; 0 if there is none."""
+    width = 32
+    while True:
+        start = max(0, len(text) - width)
+        at = -1
+        for m in _fixed_ends().finditer(text, start + 1 if start else 0):
+            at = m.start()
+        if at > 0 or not start:
+            return max(at, 0)
+        width *= 4
+
+
+def _first_end(text: str) -> int:
+    """The first such place, or the text's length."""
+    m = _fixed_ends().search(text)
+    return m.start() if m else len(text)
 
 
 def join(a: Part, b: Part, vocabulary: str = VOCABULARY) -> Part:
     """The part of the joined text. Associative; ``leaf("")`` is neutral.
 
-    A match depends on the text up to one character past its end, a contraction on two more, and
-    white space on the character after the run: three characters in hand prove a left match final.
+    The window reaches from the last fixed end of the left text to the first of the right one. What the left part's tokens
+    in the window are is known by encoding them alone, since they begin at a fixed end, and likewise on the right.
     """
     if not a.text or not b.text:
         return b if not a.text else a
-    text, cut = a.text + b.text, len(a.text)
-    keep = bisect_left(a.ends, cut - 3)  # ends before it are at least 3 characters inside
-    while keep and (a.ends[keep - 1] > cut - 3 or text[a.ends[keep - 1] - 1].isspace()):
-        keep -= 1
-    start = a.ends[keep - 1] if keep else 0
-    others, width = b.ends, 64
-    while True:
-        stop = min(len(text), cut + width)
-        ends = _window_ends(text, start, stop)
-        for k, end in enumerate(ends):
-            at = bisect_left(others, end - cut) if end > cut else len(others)
-            if at < len(others) and others[at] == end - cut:
-                return _spliced(a, b, text, keep, start, ends[: k + 1], at + 1, vocabulary)
-        if stop == len(text):
-            return _spliced(a, b, text, keep, start, ends, len(others), vocabulary)
-        width *= 4
-
-
-def _window_ends(text: str, start: int, stop: int) -> list[int]:
-    """Pre-token ends after ``start`` up to ``stop``, matched against the whole text's right context."""
-    ends = []
-    for m in _pattern().finditer(text, start):
-        if m.end() > stop:
-            break
-        ends.append(m.end())
-    return ends
-
-
-def _spliced(a: Part, b: Part, text: str, keep: int, start: int, ends: list[int], after: int, vocabulary: str) -> Part:
-    """a's first ``keep`` pre-tokens, the re-encoded window, and b's pre-tokens from ``after`` on."""
-    encode = encoding(vocabulary)._encode_single_piece
-    held = a.stops[keep - 1] if keep else 0
-    ids, stops = a.ids[:held], a.stops[:keep]
-    for end in ends:
-        ids += encode(text[start:end])
-        stops.append(len(ids))
-        start = end
-    gone = b.stops[after - 1] if after else 0
-    grown = len(ids) - gone
-    ids += b.ids[gone:]
-    stops += [s + grown for s in b.stops[after:]]
-    shift = len(a.text)
-    return Part(text, a.ends[:keep] + ends + [e + shift for e in b.ends[after:]], stops, ids)
+    encode = encoding(vocabulary).encode_ordinary
+    start, stop = _last_end(a.text), _first_end(b.text)
+    gone, fresh = len(encode(a.text[start:])), encode(a.text[start:] + b.text[:stop])
+    known = len(encode(b.text[:stop]))
+    return Part(a.text + b.text, a.ids[: len(a.ids) - gone] + fresh + b.ids[known:])
 
 
 def tree(parts: list[Part], vocabulary: str = VOCABULARY) -> Part:
@@ -139,14 +118,16 @@ def encode_text(text: str | None, vocabulary: str = VOCABULARY, size: int = LEAF
     """All ids of one text, by the tree; empty for null and empty texts."""
     if not text:
         return []
-    if len(text) <= size:
-        return encoding(vocabulary).encode_ordinary(text)
     return tree([leaf(p, vocabulary) for p in halves(text, size)], vocabulary).ids
 
 
-def decode_ids(ids: list[int], vocabulary: str = VOCABULARY) -> str:
-    """The text of token ids; decoding is concatenation, so parts decode on their own."""
-    return encoding(vocabulary).decode_bytes(ids).decode("utf-8", errors="replace")
+def decode_ids(ids: list[int], vocabulary: str = VOCABULARY, size: int = 4096) -> str:
+    """The text of token ids: halves of at most ``size`` ids are decoded to bytes and concatenated up the tree. Ids that
+    aren't a text's raise an error."""
+    parts = [encoding(vocabulary).decode_bytes(ids[i : i + size]) for i in range(0, len(ids), size)] or [b""]
+    while len(parts) > 1:
+        parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0].decode("utf-8")
 
 
 def encode_documents(
@@ -163,8 +144,7 @@ def encode_documents(
     and repeated rows, or ids, give a row each. Other columns are ignored. ``vocabulary`` is the path of
     the rank file, which must exist on every node.
 
-    Texts of at most ``spread_chars`` are encoded in their own task, as a tree if they are longer
-    than ``leaf_chars``. Longer ones are cut into segments in rows of their own that are spread over all tasks,
+    Texts of at most ``spread_chars`` are encoded as trees of leaves of ``leaf_chars`` in their own task. Longer ones are cut into segments in rows of their own that are spread over all tasks,
     encoded there as trees, and joined up the tree per text: only those texts are shuffled.
     """
     spark = prepare(documents.sparkSession)
@@ -193,27 +173,15 @@ def encode_documents(
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [
-                tree([leaf(p, vocabulary) for p in halves(t, leaf_chars)], vocabulary) for t in batch["__segment"]
-            ]
-            yield batch.assign(
-                ends=[p.ends for p in parts], stops=[p.stops for p in parts], ids=[p.ids for p in parts]
-            )
+            yield batch.assign(ids=[encode_text(t, vocabulary, leaf_chars) for t in batch["__segment"]])
 
     def joined(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values("__no")
-        parts = [
-            Part(t, list(e), list(s), list(i))
-            for t, e, s, i in zip(batch["__segment"], batch["ends"], batch["stops"], batch["ids"], strict=True)
-        ]
+        parts = [Part(t, list(i)) for t, i in zip(batch["__segment"], batch["ids"], strict=True)]
         return pd.DataFrame({"id": [batch["__id"].iloc[0]], "ids": [tree(parts, vocabulary).ids]})
 
     long = (
-        segments.mapInPandas(
-            encoded,
-            f"__id {kind}, __row bigint, __no int, __segment string, "
-            "ends array<int>, stops array<int>, ids array<int>",
-        )
+        segments.mapInPandas(encoded, f"__id {kind}, __row bigint, __no int, __segment string, ids array<int>")
         .groupBy("__row")
         .applyInPandas(joined, f"id {kind}, ids array<int>")
     )

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from taskloom.llm import encode, pack
 
 pytestmark = pytest.mark.skipif(not Path(encode.VOCABULARY).exists(), reason="the vocabulary is not mounted")
-PIECES = ["a", "b", " ", "  ", "\n", "\t", "'", "'s", "'re", "ll", "1", "!", "é", "日本", "​", " ", "“", "\r\n", "🚀", "<|endoftext|>"]
+PIECES = ["a", "b", " ", "  ", "\n", "\t", "'", "'s", "'re", "ll", "1", "!", "é", "日本", "​", " ", "“", "\r\n", "🚀", "<|endoftext|>", "\x1c", "\x85", "×", "，", "ー", "٣", "½", "e\u0301"]
 
 
 @settings(max_examples=300, deadline=None)
@@ -25,7 +25,7 @@ def test_tree_equals_encoding_at_once(text, size):
 def test_join_is_associative(a, b, c):
     x, y, z = map(encode.leaf, (a, b, c))
     left, right = encode.join(encode.join(x, y), z), encode.join(x, encode.join(y, z))
-    assert (left.text, left.ends, left.ids) == (right.text, right.ends, right.ids)
+    assert left == right == encode.leaf(a + b + c)
 
 
 @pytest.mark.parametrize("text", ["a" * 50_000, " " * 50_000, "\n" * 30_000 + "x", "ab " * 30_000, "é" * 20_000])
@@ -33,6 +33,21 @@ def test_long_runs(text):
     assert encode.encode_text(text, size=4096) == encode.encoding(encode.VOCABULARY).encode_ordinary(text)
 
 
+def test_ids_that_are_no_text_raise():
+    ids = encode.encode_text("日本" * 9)
+    assert encode.decode_ids(ids, size=1) == "日本" * 9 and encode.decode_ids([]) == ""
+    with pytest.raises(UnicodeDecodeError):
+        encode.decode_ids(encode.encoding(encode.VOCABULARY).encode_ordinary("\U0001f680")[:1])
+
+
+def test_every_text_goes_through_the_tree(monkeypatch):
+    seen = []
+    join = encode.join
+    monkeypatch.setattr(encode, "join", lambda a, b, v=encode.VOCABULARY: seen.append(1) or join(a, b, v))
+    encode.encode_text("word " * 205)
+    assert len(seen) == 2  # leaves of 512, 256 and 257 characters
+
+
 def test_other_library_agrees():
     from tokenizers import Tokenizer
 
