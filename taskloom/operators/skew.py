@@ -133,3 +133,20 @@ def look_up(rows: DataFrame, mapping: DataFrame, key: str, share: float = 0.01)
     hot = F.broadcast(hot)
     cold = rows.join(hot.select(key), key, "left_anti").join(mapping, key)
     return rows.join(hot, key).unionByName(cold)
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: list[str], share: float = 0.01) -> DataFrame:
+    """Inner join on ``key`` in which left rows of a hot key are dealt out over salts, and the right rows of that key copied to each.
+
+    A key is hot if it has more than ``share`` of the left rows, so fewer than ``1 / share`` are; it gets its share of the
+    shuffle partitions as salts. The salt is a hash of the columns ``spread``, so reruns agree. Null keys match nothing.
+    """
+    salts = parallelism(left.sparkSession)
+    hot = heavy_keys(left, key, share).where("__key is not null").select(
+        "__key", F.greatest(F.ceil(F.col("__n") * F.lit(salts) / F.col("__total")), F.lit(1)).cast("int").alias("__salts")
+    )
+    hot = F.broadcast(hot)
+    of = F.coalesce("__salts", F.lit(1))
+    a = left.join(hot, F.col(key) == F.col("__key"), "left").withColumn("__salt", F.pmod(F.xxhash64(*spread), of).cast("int"))
+    b = right.join(hot, F.col(key) == F.col("__key"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), of - 1)))
+    return a.drop("__key", "__salts").join(b.drop("__key", "__salts"), [key, "__salt"]).drop("__salt")

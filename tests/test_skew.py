@@ -73,3 +73,12 @@ def test_look_up_of_hot_and_cold_keys(spark):
     mapping = spark.createDataFrame([("hot", 1), *((f"k{i}", i) for i in range(0, 300, 6)), ("unused", 5)], "k string, v int")
     got = {(r.id, r.v) for r in look_up(rows, mapping, "k").collect()}
     assert got == {(i, 1) for i in range(300) if i % 3} | {(i, i) for i in range(0, 300, 6)}
+
+
+def test_salted_join_equals_a_join(spark):
+    from taskloom.operators.skew import salted_join
+
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 40}") for i in range(400)] + [(900, None)], "id int, k string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3), *((f"k{i}", i) for i in range(0, 40, 4))], "k string, v int")
+    key = lambda f: sorted((r.id, r.k, r.v) for r in f.collect())
+    assert key(salted_join(left, right, "k", ["id"])) == key(left.join(right, "k"))
