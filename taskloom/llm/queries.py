@@ -51,7 +51,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_leaks(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaked_items(_texts(spark, folder), table(spark, folder, "eval_instances"))
+    """Passages with an edit too, and items of five words or more."""
+    return leaks.leaked_items(_texts(spark, folder), table(spark, folder, "eval_instances"), shortest=5)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -56,8 +56,46 @@ def test_pairs_equal_brute_force(spark):
 def test_shuffled_way_gives_the_same(spark):
     docs, items, d, e = tables(spark)
     small = leaks.leaked_items(d.where("doc_id < 60"), e)
-    joined = leaks.leaked_items(d.where("doc_id < 60"), e, max_index_bytes=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, joined.collect()))
+    for filter_bytes in (64 << 20, 1 << 16):
+        joined = leaks.leaked_items(d.where("doc_id < 60"), e, max_index_bytes=0, max_filter_bytes=filter_bytes)
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_items_shorter_than_a_window_are_windows_of_their_size(spark):
+    docs = [(1, "we saw that the green kettle sings at noon, as ever"), (2, "the green kettle hums at noon"), (3, "green kettle"), (4, "x y z u v w")]
+    items = [("six", "The green kettle sings at noon", None), ("two", "green kettle", None), ("five", "x y z u v", "")]
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    e = spark.createDataFrame(items, "instance_id string, problem_statement string, patch string")
+    for limit in (256 << 20, 0):
+        got = {tuple(r) for r in leaks.leaked_items(d, e, shortest=5, max_index_bytes=limit).collect()}
+        assert {r for r in got if r[2] == 0} == {(1, "six", 0, 1), (4, "five", 0, 1)}
+        assert {r[:2] for r in got} <= {(1, "six"), (2, "six"), (4, "five")}
+    assert leaks.leaked_items(d, e).collect() == []
+
+
+@pytest.mark.parametrize(("window", "edits", "sampled"), [(15, 1, 12), (15, 2, 8), (40, 3, 10), (8, 1, 6)])
+def test_recall_on_real_passages_with_planted_edits(data, window, edits, sampled):
+    """Held-out texts of the test tables with random word edits, against the exact distance of the windows."""
+    import pandas as pd
+
+    rng = random.Random(window * edits)
+    texts = [leaks.words(t) for t in pd.read_parquet(f"{data}/eval_instances.parquet")["problem_statement"].dropna()]
+    texts = [t for t in texts if len(t) >= window + 6]
+    walks = leaks.Walks(window=window, edits=edits, sampled=sampled)
+    index = leaks.Index(walks, [(str(i), [leaks.word_codes(t)]) for i, t in enumerate(texts)])
+    true = hit = 0
+    for _ in range(1200):
+        i = rng.randrange(len(texts))
+        at = rng.randrange(len(texts[i]) - window - edits)
+        changed = texts[i][at : at + window + edits]
+        for _ in range(edits):
+            k, kind = rng.randrange(1, window - 1), rng.randrange(3)
+            changed[k : k + (kind != 1)] = [] if kind == 2 else [rng.choice(rng.choice(texts))]
+        codes = leaks.word_codes(changed[:window])
+        near = leaks.edit_distances(codes[None], leaks.word_codes(texts[i][at : at + window])[None], edits)[0] <= edits
+        true += near
+        hit += near and any(item == i for _, item, _, _ in index.matches([codes]))
+    assert true > 250 and hit / true >= 0.9, hit / true
 
 
 def test_recall_of_edited_windows():
@@ -79,7 +117,7 @@ def test_recall_of_edited_windows():
             near = leaks.edit_distances(leaks.word_codes(doc)[None], leaks.word_codes(item)[None], 1)[0] <= 1
             n += near
             hit += near and bool(found)
-    assert n > 150 and hit / n >= 0.85
+    assert n > 150 and hit / n >= 0.9
 
 
 def test_edit_distances():
