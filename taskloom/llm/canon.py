@@ -196,14 +196,16 @@ def _class(chars: list[str]) -> str:
     return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" if a < b else re.escape(chr(a)) for a, b in out)
 
 
-_EVERY = [chr(c) for c in [*range(0x80, 0xD800), *range(0xE000, 0x20000), *range(0xE0100, 0xE01F0)]]
+_EVERY = [chr(c) for c in [*range(0x80, 0xD800), *range(0xE000, 0x10000)]]
+_REST = "\U00010000-\U0010ffff"  #: read whole: one range is searched much faster than the marks among them
 _MARKS = _class([c for c in _EVERY if ud.category(c)[0] == "M"])
-_GOES_ON = _MARKS + _class([c for c, v in TABLE.items() if not v or ud.category(v[0])[0] == "M"]) + "ᅠ-ᇿ"
-_CHANGES = _class([c for c in _EVERY if c in TABLE or not ud.is_normalized("NFC", c)])
+_GOES_ON = _MARKS + _class([c for c, v in TABLE.items() if c < "\U00010000" and (not v or ud.category(v[0])[0] == "M")]) + "\u1160-\u11ff" + _REST
+_CHANGES = _class([c for c in _EVERY if c in TABLE or not ud.is_normalized("NFC", c)]) + _REST
 #: Clusters that may change: everything else passes untouched.
 _SPOT = f"(?:[{_CHANGES}]|[\\s\\S](?=[{_GOES_ON}]))[{_GOES_ON}]*(?:(?<=[{INVISIBLE}])[{_PICTURE}][{_GOES_ON}]*)*"
 _SPOTS = re.compile(_SPOT)
-_WORD = f"[^\\W\\d_](?:[^\\W\\d_]|[{_MARKS}{INVISIBLE}])*"
+_FAR_MARKS = _class([c for c in map(chr, [*range(0x10000, 0x20000), *range(0xE0100, 0xE01F0)]) if ud.category(c)[0] == "M"])
+_WORD = f"[^\\W\\d_](?:[^\\W\\d_]|[{_MARKS}{INVISIBLE}]|[{_FAR_MARKS}])*"
 _TOKENS = re.compile(f"(?P<word>{_WORD})|{_SPOT}")
 _OTHERS = re.compile(f"[{_BLOCKS}]")
 
