@@ -58,6 +58,10 @@ FILLER = (
     "{Body|Description|Text|Details|Summary|Content} {to be added|not written yet|to follow|to be written|will follow|coming soon}.",
     "{Default|Demo|Dummy|Sample|Example|Test} {text|content|body|issue body|description} {only|for layout purposes|for testing|goes here}.",
     "{Body|Description|Text|Content|Details} {pending|missing|to come|follows}.", "{Body|Details|Description} pending.",
+    "{Blah blah|Yada yada|Bla bla bla|Etc etc}, {will write up|will describe|will fill in|to be described} {properly|in full|in detail|} {tomorrow|later|soon|next week}.",
+    "{Will|I will|We will|To be} {fill this in|write this up|add details|complete this|describe this} {later|tomorrow|soon|at some point}.",
+    "{Nothing|No text|No description|No details|No summary} {here yet|written yet|provided|given|available yet}.",
+    "{This is|Just} {a test|only a test|some test text|placeholder text|sample text}, {please ignore|ignore it|to be replaced}.",
     "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua.",
     "Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat.",
     "Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.",
@@ -116,6 +120,18 @@ NOTICES = (
     "{Turn it on and reload.|Check your settings.|Nothing to show without it.}</noscript>",
     f"{{Checking your browser|One moment, testing your connection|Verifying that you are human}} before loading the {THING}. "
     f"This {{requires|needs}} {SCRIPTS} and cookies.",
+    "{Whoops|Oops|Oh no|Uh oh|Yikes}{,|!} {looks like|it seems that|it looks like|it appears that} {something|this page|our server|the site} {broke|went wrong|failed|crashed}.",
+    f"We {{noticed|detected|see}} {{that |}}{SCRIPTS} {{is off|is disabled|is turned off|is not available|is blocked}}{{| in your browser}}. "
+    "{Switch to a supported browser|Please enable it|Turn it on|Change your settings} {to continue|to keep using this site|and reload the page}.",
+    "As {an AI language model|an AI|a language model|an AI assistant|an assistant}, I {cannot|can't|am unable to|am not able to} "
+    "{complete|fulfil|help with|answer|process} {this request|that request|this task|your question}.",
+    "{I'm sorry|Sorry|I apologize}, but I {can't|cannot|am unable to} {help|assist} with {that|this|that request}.",
+    "{Please|You must|You need to} {complete|solve|pass} the {captcha|security check|challenge} to {continue|access this site|prove you are human}.",
+    "{Verify|Confirm|Prove} {that you are|you are} {human|not a robot} {by completing the action below|to continue|before proceeding}.",
+    f"{{Subscribe|Create an account|Register|Sign up|Log in}} to {{read|view|see}} the {{full|rest of the|whole|complete}} {THING}.",
+    "The server {encountered|met} an {internal error|unexpected condition} {and was unable to|and could not|that stopped it from being able to} {complete|fulfil|handle} your request.",
+    "{Your browser|This version of your browser} is {not supported|no longer supported|out of date}. {Please upgrade|Update it|Use a newer one} to {continue|view this page|use this site}.",
+    f"{{This|The}} {{site|page|{THING}}} {{can't be reached|isn't working right now|took too long to respond}}.",
     "{Learn more.|Then refresh.|Reload once it is active.}", "Loading...", "Skip to content", "Help | Terms | Status",
     "{Bitte aktivieren Sie|Schalten Sie|Erlauben Sie|Sie müssen} {JavaScript|Skripte} {im Browser ein|einschalten|}, um "
     "{diese Seite anzuzeigen|den Eintrag zu lesen|fortzufahren}.",

@@ -100,3 +100,33 @@ def test_an_error_text_that_quotes_is_a_case(spark):
     t = spark.createDataFrame([(i, s) for i, s, _ in rows], "row_id bigint, problem_statement string")
     got = {r.row_id for r in residue.residue(t).collect()}
     assert 8000 in got and not got & {i for i, _, case in rows if not case}
+
+
+# Phrases in nobody's words but their own: none is an expansion of a labelled phrase.
+HELD_OUT = (
+    "You don't have access to this repository. Request access from its owner.", "Hmm, this page doesn't seem to exist.",
+    "Please turn JavaScript on and reload the page.", "JavaScript must be enabled in order to use this site.",
+    "Your request has been blocked by our security rules.", "503 Service Temporarily Unavailable",
+    "We are checking that your connection is secure.", "I am unable to generate that content.", "Description goes here.",
+    "<insert summary of the bug>", "{{ summary }}", "Some text some text some text some text",
+    "You need to log in before you can view this page.", "An internal server error has occurred, please retry later.",
+    "Content blocked because scripts are disabled.", "Write your report below this line.",
+)
+HELD_OUT_REPORTS = (
+    "The parser drops the last token when the input ends with a comment.", "After upgrading, calling connect() twice raises a timeout in the pool.",
+    "The login page shows a blank screen when cookies are disabled.", "Our docs say JavaScript is optional, but the menu breaks without it.",
+    "The 404 page should use the same layout as the others.", "I cannot complete the build on Windows since version 2.",
+    "The template engine leaves `{{name}}` untouched when the variable is null.", "Please add an option to skip the browser check in tests.",
+    "The server returns 503 when the pool is empty; it should queue instead.", "Retry logic treats 429 as final.",
+)
+
+
+def test_held_out_phrases(spark, data):
+    from taskloom.llm.residue import Models, Settings, prose_counts
+
+    expansions = {x.strip().lower() for kind in ("filler", "notice", "worded") for x in samples(kind, 24)}
+    assert not expansions & {x.lower() for x in HELD_OUT}
+    t = spark.read.parquet(data.replace("sf0.001", "sf0.01") + "/task_instances.parquet")
+    models = Models(*prose_counts(t, "problem_statement", Settings()), Settings())
+    assert sum(bool(models.spans(x)) for x in HELD_OUT) >= 0.85 * len(HELD_OUT)
+    assert not [x for x in HELD_OUT_REPORTS if models.spans(x)]
