@@ -25,11 +25,8 @@ def last_wins(status: DataFrame) -> DataFrame:
     return status.groupBy("instance_id", "run", "test").agg(last["status"].alias("status"))
 
 
-def transitions(status: DataFrame, before: str, after: str) -> DataFrame:
-    """(instance_id, test, transition) of tests that have PASSED or FAILED in both runs.
-
-    One aggregation by test holds both runs' last statuses, in place of a join of two.
-    """
+def _last_of_both(status: DataFrame, before: str, after: str) -> DataFrame:
+    """(instance_id, test, transition) of every test of either run; null if it is none of the four."""
     last = lambda run: F.max(F.when(F.col("run") == run, F.struct("pos", "status")))["status"]
     both = (
         status.where(F.col("run").isin(before, after))
@@ -39,19 +36,22 @@ def transitions(status: DataFrame, before: str, after: str) -> DataFrame:
     kind = F.lit(None).cast("string")
     for name, (b, a) in TRANSITIONS.items():
         kind = F.when((F.col("b") == b) & (F.col("a") == a), F.lit(name)).otherwise(kind)
-    return both.select("instance_id", "test", kind.alias("transition")).where("transition is not null")
+    return both.select("instance_id", "test", kind.alias("transition"))
+
+
+def transitions(status: DataFrame, before: str, after: str) -> DataFrame:
+    """(instance_id, test, transition) of tests that have PASSED or FAILED in both runs.
+
+    One aggregation by test holds both runs' last statuses, in place of a join of two.
+    """
+    return _last_of_both(status, before, after).where("transition is not null")
 
 
 def transition_report(status: DataFrame, before: str, after: str) -> DataFrame:
-    """One row per instance with rows in either run: its four sorted lists of tests."""
-    found = transitions(status, before, after).groupBy("instance_id").agg(
+    """One row per instance with rows in either run: its four sorted lists of tests. The statuses are read once."""
+    return _last_of_both(status, before, after).groupBy("instance_id").agg(
         *(F.array_sort(F.collect_list(F.when(F.col("transition") == t, F.col("test")))).alias(t) for t in TRANSITIONS)
     )
-    none = F.array().cast("array<string>")
-    every = status.where(F.col("run").isin(before, after)).select("instance_id").distinct()
-    return every.join(found, "instance_id", "left").select(
-        "instance_id", *(F.coalesce(t, none).alias(t) for t in TRANSITIONS)
-    )
 
 
 def outcome_counts(reports: DataFrame) -> DataFrame:
@@ -79,9 +79,10 @@ def gather(reports: DataFrame, patches: DataFrame, broken: str = "FAIL_TO_PASS")
     kept = reports.where(
         ~F.col("instance_id").endswith(REF_SUFFIX) & (pr | (~late & (n_f2p > 0) & (n_p2p > 0)))
     ).select("instance_id", F.col(broken).alias("FAIL_TO_PASS"), "PASS_TO_PASS")
-    return kept.join(patches.select("instance_id", "patch").distinct(), "instance_id").select(
+    tasks = kept.join(patches.select("instance_id", "patch"), "instance_id").select(
         "instance_id", repo_part(F.col("instance_id")).alias("repo_key"), "patch", "FAIL_TO_PASS", "PASS_TO_PASS"
     )
+    return tasks.dropDuplicates(["instance_id", "patch"])  # where the join put them: patches move once, those of tasks only
 
 
 def passed(status: Column) -> Column:

@@ -8,22 +8,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import rank_within
+from ..functions.running import running
 from ..functions.scalar import hash_order, hash_unit
 from ..session import prepare
 
 
-def carry_forward(lines: DataFrame, group: str, order: str, header: Column, name: str) -> DataFrame:
+def carry_forward(lines: DataFrame, group: str, order: str, header: Column, name: str, at_once: int = 1_000_000) -> DataFrame:
     """``name``: the last non-null ``header`` at or before each line of its group."""
-    before = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn(name, F.last(header, ignorenulls=True).over(before))
+    return running(lines, group, [order], {name: ("last", header)}, at_once)
 
 
-def prefix_until(rows: DataFrame, group: str, order: list[str], holds: Column) -> DataFrame:
+def prefix_until(rows: DataFrame, group: str, order: list[str], holds: Column, at_once: int = 1_000_000) -> DataFrame:
     """The rows of each group before the first for which ``holds`` is false or null."""
-    before = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    broken = F.max(F.when(F.coalesce(holds, F.lit(False)), 0).otherwise(1)).over(before)
-    return rows.withColumn("__broken", broken).where("__broken = 0").drop("__broken")
+    broken = F.when(F.coalesce(holds, F.lit(False)), 0).otherwise(1)
+    return running(rows, group, order, {"__broken": ("max", broken)}, at_once).where("__broken = 0").drop("__broken")
 
 
 def neighbours(lines: Column, at: Column, k: int) -> Column:
@@ -32,8 +30,9 @@ def neighbours(lines: Column, at: Column, k: int) -> Column:
     return F.slice(lines, start, F.least(at + k, F.size(lines)) - start + 1)
 
 
-def previous(rows: DataFrame, group: str, order: str, column: str, name: str) -> DataFrame:
-    return rows.withColumn(name, F.lag(column).over(Window.partitionBy(group).orderBy(order)))
+def previous(rows: DataFrame, group: str, order: str, column: str, name: str, at_once: int = 1_000_000) -> DataFrame:
+    """``name``: the column's value in the row before, in its group; null in the first."""
+    return running(rows, group, [order], {name: ("previous", F.col(column))}, at_once)
 
 
 def cap_per_key(rows: DataFrame, key: str, most: int, seed: int, ids: list[str]) -> DataFrame:
@@ -46,12 +45,19 @@ def cap_per_key(rows: DataFrame, key: str, most: int, seed: int, ids: list[str])
 
 
 def diverse(rows: DataFrame, key: str, most: int, seed: int, ids: list[str]) -> DataFrame:
-    """``most`` rows: first one of every key, then others, in hash order; no row twice."""
+    """``most`` rows: first one of every key, then others, in hash order; no row twice.
+
+    The first row of a key is a minimum, and the others that can be taken are among the first ``2 * most`` of all, so
+    no key is sorted as a whole.
+    """
     order = hash_order(seed, *(F.col(c).cast("string") for c in ids))
-    ranked = rows.withColumn("__order", order).withColumn(
-        "__first", F.row_number().over(Window.partitionBy(key).orderBy("__order", *ids))
-    )
-    return ranked.orderBy(F.col("__first") > 1, "__order", *ids).limit(most).drop("__order", "__first")
+    marked = rows.withColumn("__order", order)
+    whole, place = F.struct(*marked.columns), F.struct("__order", *ids)
+    firsts = marked.groupBy(F.col(key).alias("__key")).agg(F.min_by(whole, place).alias("__row")).select("__row.*").orderBy("__order", *ids).limit(most)
+    near = marked.orderBy("__order", *ids).limit(2 * most)
+    ranked = near.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy("__order", *ids)))
+    both = firsts.withColumn("__late", F.lit(0)).unionByName(ranked.where("__rank > 1").drop("__rank").withColumn("__late", F.lit(1)))
+    return both.orderBy("__late", "__order", *ids).limit(most).drop("__late", "__order")
 
 
 def sample(rows: DataFrame, n: int, seed: int, ids: list[str]) -> DataFrame:
@@ -65,28 +71,24 @@ def shuffled(rows: DataFrame, seed: int, ids: list[str]) -> DataFrame:
     return rows.orderBy(hash_order(seed, *(F.col(c).cast("string") for c in ids)), *ids)
 
 
-def chunks(rows: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
-    """``chunk``: fixed-size pieces of each group, numbered from 0. Groups of any size: ranks are
-    counted in buckets of hash order where ``order`` is given as a single id."""
-    ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+def chunks(rows: DataFrame, group: str, order: list[str], size: int, at_once: int = 1_000_000) -> DataFrame:
+    """``chunk``: fixed-size pieces of each group in ``order``, numbered from 0. Groups may have any size."""
+    ranked = running(rows, group, order, {"__rank": ("sum", F.lit(1))}, at_once)
     return ranked.withColumn("chunk", F.floor((F.col("__rank") - 1) / size).cast("int")).drop("__rank")
 
 
-def near_equal_parts(rows: DataFrame, parts: int, order: list[str]) -> DataFrame:
+def near_equal_parts(rows: DataFrame, parts: int, order: list[str], at_once: int = 1_000_000) -> DataFrame:
     """``part``: 1 to ``parts`` in the order given; the first ones hold one row more.
 
-    A row's rank comes from a range-partitioned sort and the partition sizes, not from one task.
+    A row's rank is that within its range of the order and the sizes of the ranges before; one task ranks at most
+    ``at_once`` rows.
     """
-    order_hash = F.xxhash64(*order)
-    one = rows.withColumn("__all", F.lit(0)).withColumn("__h", order_hash)
-    ranked = rank_within(one, "__all", ["__h", *order], rank="__rank")
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    ranked = running(rows.withColumn("__all", F.lit(0)), "__all", order, {"__rank": ("sum", F.lit(1))}, at_once)
+    total, at = rows.agg(F.count(F.lit(1)).alias("n")).scalar(), F.col("__rank") - 1
     small, extra = F.floor(total / parts), total % parts
     big = (small + 1) * extra
-    part = F.when(F.col("__rank") < big, F.floor(F.col("__rank") / (small + 1))).otherwise(
-        extra + F.floor((F.col("__rank") - big) / small)
-    )
-    return ranked.withColumn("part", (part + 1).cast("int")).drop("__all", "__h", "__rank")
+    part = F.when(at < big, F.floor(at / (small + 1))).otherwise(extra + F.floor((at - big) / small))
+    return ranked.withColumn("part", (part + 1).cast("int")).drop("__all", "__rank")
 
 
 def split_by_hash(rows: DataFrame, share: float, seed: int, ids: list[str]) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -23,6 +23,7 @@ def build(master: str = "local[8]", partitions: int = 8, memory: str = "8g") ->
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="taskloom-checkpoint-"))
         .getOrCreate()
     )
 
@@ -34,16 +35,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     have = env.get("PYTHONPATH", "")
     if ROOT not in have.split(":"):
         env["PYTHONPATH"] = f"{ROOT}:{have}" if have else ROOT
-    if spark.conf.get(_BATCH) == "10000":  # the default; texts may be long, so fewer rows a batch
-        spark.conf.set(_BATCH, "2000")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where that is unset: a temporary one if driver and executors are
+    one process, else a folder in the warehouse, which all of them reach."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="taskloom-checkpoint-")
+        one = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        path = tempfile.mkdtemp(prefix="taskloom-checkpoint-") if one else f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)

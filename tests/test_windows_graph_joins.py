@@ -146,3 +146,30 @@ def test_import_edges(spark):
     got = {tuple(r) for r in graph.import_edges(spark.createDataFrame(imports, "file_path string, module string"), f).collect()}
     brute = {(s, t) for s, part in (("b/c.js", "util"), ("src/x.rs", "service"), ("src/x.rs", "x")) for t in files if part in t}
     assert got == brute
+
+
+@pytest.mark.parametrize("at_once", [1_000_000, 20])
+def test_running_values_of_groups_of_any_size(spark, at_once):
+    from taskloom.functions.running import running
+
+    rng = random.Random(2)
+    data = [(g, n, rng.choice([None, 1, 2, 7]), rng.choice([None, "a", "b"])) for g in ("hot", "cold", None) for n in range(90 if g == "hot" else 15)]
+    t = spark.createDataFrame(data, "g string, n int, v int, h string").repartition(3)
+    measures = {"s": ("sum", F.col("v")), "m": ("max", F.col("v")), "l": ("last", F.col("h")), "p": ("previous", F.col("h"))}
+    got = {(r.g, r.n): (r.s, r.m, r.l, r.p) for r in running(t, "g", ["n"], measures, at_once).collect()}
+    want = {}
+    for g in ("hot", "cold", None):
+        s, m, last, prev = 0, None, None, None
+        for _, n, v, h in sorted((x for x in data if x[0] == g), key=lambda x: x[1]):
+            s, m, last = s + (v or 0), v if m is None else m if v is None else max(m, v), h or last
+            want[(g, n)] = (s, m, last, prev)
+            prev = h
+    assert got == want
+
+
+@pytest.mark.parametrize("at_once", [1_000_000, 5])
+def test_parts_and_chunks_follow_the_order(spark, at_once):
+    rows = spark.range(12).select("id", F.lit("g").alias("g")).repartition(4, "id")
+    parts = [r.part for r in windows.near_equal_parts(rows, 5, ["id"], at_once).orderBy("id").collect()]
+    assert parts == [1, 1, 1, 2, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert [r.chunk for r in windows.chunks(rows, "g", ["id"], 5, at_once).orderBy("id").collect()] == [0] * 5 + [1] * 5 + [2] * 2
