@@ -47,6 +47,7 @@ class Count:
     first: int = 1
     greatest: bool = False
     always: bool = False  #: else only if no line named a test
+    needs: str = ""  #: what must occur somewhere in the log
 
 
 @dataclass(frozen=True)
@@ -155,16 +156,6 @@ def _ctest(log: str) -> dict[str, str]:
     return out
 
 
-def _gtest(log: str) -> dict[str, str]:
-    kinds, out = {"OK": P, "PASSED": P, "FAILED": FAIL, "SKIPPED": S, "DISABLED": S}, {}
-    for line in map(str.strip, log.split("\n")):
-        m = re.match(r"\[\s*(OK|PASSED|FAILED|SKIPPED|DISABLED)\s*\]\s+([\w:/.]+)(\s+\(|$)?", line)
-        if not m or m[2].isdigit() or re.search(r"\d+\s+tests?[\.,]", line) or (m[1] == "FAILED" and m[3] is None):
-            continue
-        out[m[2]] = kinds[m[1]]
-    return out
-
-
 def _catch_xml(log: str) -> dict[str, str]:
     pattern = r'(?s)<TestCase\s+name="([^"]+)"[^>]*>.*?<OverallResult\s+success="(true|false)"'
     return {m[1]: P if m[2] == "true" else FAIL for m in re.finditer(pattern, log)}
@@ -193,6 +184,7 @@ _STATUS = "PASSED|FAILED|SKIPPED|ERROR|XFAIL"
 _TIME = r"(?:\s\(\d+\s*m?s\))?"
 _TICKS = {"✓": P, "✔": P, "✕": FAIL, "✖": FAIL, "✗": FAIL, "❯": FAIL, "✘": FAIL, "○": S, "↩": S, "-": S}
 _COLON = {"pass": P, "fail": FAIL}
+_NO_TOTAL = r"(?!\d+(?![\w:/.]))(?!.*\d+\s+tests?[.,])"
 
 # The line shapes of test runners and what they mean.
 PARSERS: dict[str, Parser] = {
@@ -270,9 +262,11 @@ PARSERS: dict[str, Parser] = {
     "ctest": Parser(special=_ctest, counts=(Count(
         r"(?i)\d+%\s+tests\s+passed,\s+(\d+)\s+tests\s+failed\s+out\s+of\s+(\d+)",
         (("2-1", "synthetic_pass_", P), ("1", "synthetic_fail_", FAIL)), first=0),)),
-    "gtest": Parser(special=_gtest, counts=(
-        Count(r"\[\s*PASSED\s*\]\s*(\d+)\s+tests?", (("1", "test_passed_", P),)),
-        Count(r"\[\s*FAILED\s*\]\s*(\d+)\s+tests?", (("1", "test_failed_", FAIL),)))),
+    "gtest": Parser((
+        Rule(rf"\[\s*(?P<s>OK|PASSED|SKIPPED|DISABLED)\s*\]\s+{_NO_TOTAL}(?P<n>[\w:/.]+)", {"ok": P, "passed": P, "skipped": S, "disabled": S}),
+        Rule(rf"\[\s*FAILED\s*\]\s+{_NO_TOTAL}(?P<n>[\w:/.]+)(?:\s+\(|$)", FAIL)), counts=(
+        Count(r"\[\s*PASSED\s*\]\s*(\d+)\s+tests?", (("1", "test_passed_", P),), needs=r"\[\s*=+\s*\]\s*\d+\s+tests?\s+from"),
+        Count(r"\[\s*FAILED\s*\]\s*(\d+)\s+tests?", (("1", "test_failed_", FAIL),), needs=r"\[\s*=+\s*\]\s*\d+\s+tests?\s+from"))),
     "catch2": Parser(special=_catch_xml, otherwise=("catch2_text",)),
     "catch2_text": Parser((Rule(r"(?i)(?P<n>[^.:\[\]]+?)\s*\.\.\.\s*(?P<s>PASSED|FAILED)", _WORDS),), counts=(
         Count(r"(?i)test cases:\s*\d+\s*\|\s*(\d+)\s*passed\s*\|\s*(\d+)\s*failed", (("1", "test_passed_", P), ("2", "test_failed_", FAIL))),
@@ -334,8 +328,9 @@ def parse_log(log: str | None, name: str) -> dict[str, str]:
                 if test:
                     out[test] = status
                 break
+    counted = not out  # totals stand for tests only if no line named one
     for count in parser.counts:
-        if count.always or not out:
+        if (count.always or counted) and (not count.needs or re.search(count.needs, text)):
             out |= _counted(count, text)
     for other in parser.otherwise:
         out = out or parse_log(log, other)
