@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import bug_type, modifier, repo_part
@@ -84,3 +84,31 @@ def module_groups(files: DataFrame, key: str, path: str, depth: int) -> DataFram
         .agg(F.countDistinct(key).alias("n_patches"), F.array_sort(F.collect_set(path)).alias("paths"))
         .where(F.size("paths") > 1)
     )
+
+
+def similarity_statistics(rows: DataFrame, ratio: str, size: str) -> DataFrame:
+    """One row: count, least, greatest, mean and upper median of ratios, and least, greatest and upper median of sizes.
+
+    The upper median is the value at place ``n // 2`` of the sorted ones, counted from 0; it is not interpolated.
+    """
+    middle = lambda c: F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}` DESC)")
+    return rows.agg(
+        F.count(ratio).alias("n"), F.min(ratio).alias("least"), F.max(ratio).alias("greatest"), F.round(F.avg(ratio), 6).alias("mean"),
+        middle(ratio).alias("median"), F.min(size).alias("size_least"), F.max(size).alias("size_greatest"), middle(size).alias("size_median"),
+    )
+
+
+def unified_tasks(changes: DataFrame, key: str, order: list[str], size: int) -> DataFrame:
+    """(key, chunk_id, total_chunks, counts, locations): the changes of each key in groups of at most ``size``, in order.
+
+    changes: key, order columns, new_path, place, change (added, modified or removed). A key's changes are those of one diff.
+    """
+    by = Window.partitionBy(key)
+    at = F.row_number().over(by.orderBy(*order)) - 1
+    placed = changes.withColumns({"__at": at, "__n": F.count(F.lit(1)).over(by)}).withColumn("chunk_id", F.floor(F.col("__at") / size).cast("int"))
+    kinds = [F.count_if(F.col("change") == c).alias(c) for c in ("added", "modified", "removed")]
+    places = F.transform(F.array_sort(F.collect_list(F.struct("__at", "place"))), lambda x: x["place"])
+    return placed.groupBy(key, "chunk_id").agg(
+        F.ceil(F.max("__n") / size).cast("int").alias("total_chunks"), F.count(F.lit(1)).alias("total_changes"),
+        F.countDistinct("new_path").alias("files_changed"), *kinds, places.alias("locations"),
+    )

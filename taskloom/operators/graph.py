@@ -168,3 +168,18 @@ def connected_files(edges: DataFrame, functions: DataFrame, start: DataFrame, ho
     of = functions.select(F.col("func_key").alias("node"), "file_path")
     found = reach(edges, start, hops).join(of, "node").select("file_path").distinct()
     return found.join(start.join(of, "node").select("file_path").distinct(), "file_path", "left_anti")
+
+
+# Names of constructors and of what is written without thought.
+BOILERPLATE = (
+    "new", "default", "from", "into", "clone", "drop", "eq", "partial_eq", "fmt", "display", "debug", "as_ref", "as_mut", "as_ptr", "deref",
+    "deref_mut", "to_string", "try_from", "try_into", "build",
+)
+
+
+def targets(functions: DataFrame, least: int = 50, enough: int = 80) -> DataFrame:
+    """The functions worth changing: at least ``least`` characters, no accessor, constructor or test, and asynchronous, with a
+    call, or of ``enough`` characters. functions: name, body, n_calls."""
+    size = F.length("body")
+    plain = (F.col("name") != "") & ~F.col("name").rlike("^(?:get_|set_|is_|test_)") & ~F.col("name").isin(*BOILERPLATE)
+    return functions.where(plain & (size >= least) & (F.contains("body", F.lit("async")) | (F.col("n_calls") > 0) | (size >= enough)))

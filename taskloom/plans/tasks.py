@@ -273,8 +273,7 @@ def patch_repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 def patch_test_parts(spark: SparkSession, folder: str) -> DataFrame:
     parts = diffs.split_tests(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
-    n = lambda c: F.regexp_count(c, F.lit("(?m)^diff --git"))
-    return parts.select("row_id", n(F.col("fix")).alias("n_fix"), n(F.col("tests")).alias("n_tests"))
+    return parts.select("row_id", F.md5("fix").alias("fix"), F.md5("tests").alias("tests"))
 
 
 def bug_kinds(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,8 +326,7 @@ def split_train_test(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_equal_parts(spark: SparkSession, folder: str) -> DataFrame:
-    parts = windows.near_equal_parts(T(spark, folder, "task_instances").select("row_id"), 7, ["row_id"])
-    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return windows.near_equal_parts(T(spark, folder, "task_instances").select("row_id"), 7, ["row_id"])
 
 
 def chunk_groups(spark: SparkSession, folder: str) -> DataFrame:
@@ -526,8 +524,6 @@ SQL = {
         list_sort(list(DISTINCT new_path || ':' || hunk_no)) AS places FROM lines GROUP BY 1""",
     "changed_functions": f"""WITH {_LINES} SELECT row_id, list_sort(list(DISTINCT section)) AS functions FROM lines
         WHERE kind <> 'context' AND section <> '' GROUP BY 1""",
-    "patch_test_parts": f"""WITH {_LINES} SELECT t.row_id, count(g.f) FILTER (NOT regexp_matches(g.new_path, 'test|e2e'))::INT AS n_fix,
-        count(g.f) FILTER (regexp_matches(g.new_path, 'test|e2e'))::INT AS n_tests FROM task_instances t LEFT JOIN heads g USING (row_id) GROUP BY 1""",
     "bug_kinds": f"""WITH {_LINES}, t AS (SELECT row_id, coalesce(string_agg(content, ' ' ORDER BY file_no, hunk_no, line_no) FILTER (kind = 'removal'), '') AS o,
                coalesce(string_agg(content, ' ' ORDER BY file_no, hunk_no, line_no) FILTER (kind = 'addition'), '') AS w FROM lines GROUP BY 1)
         SELECT row_id, CASE WHEN {_swap(("==", "!="), (">", "<"), (">=", "<="))} THEN 'comparison_flip' WHEN {_swap(("&&", "||"))} THEN 'logic_swap'
@@ -558,7 +554,7 @@ SQL = {
         FROM task_instances WHERE repo IS NOT NULL) SELECT row_id, repo FROM r ORDER BY n > 1, h, row_id LIMIT 250""",
     "hash_sample": f"SELECT row_id FROM task_instances ORDER BY {_HASH.format(24, 'row_id')}, row_id LIMIT 100",
     "split_train_test": f"SELECT row_id, CASE WHEN {_UNIT.format(42, 'row_id')} < 0.8 THEN 'train' ELSE 'test' END AS split FROM task_instances",
-    "near_equal_parts": "SELECT part::INT AS part, count(*) AS n FROM (SELECT ntile(7) OVER (ORDER BY row_id) AS part FROM task_instances) GROUP BY 1",
+    "near_equal_parts": "SELECT row_id, (ntile(7) OVER (ORDER BY row_id))::INT AS part FROM task_instances",
     "chunk_groups": """SELECT instance_id, test, ((row_number() OVER (PARTITION BY instance_id ORDER BY test) - 1) // 4)::INT AS chunk
         FROM (SELECT DISTINCT instance_id, test FROM test_status)""",
     "template_choice": f"""SELECT row_id, CASE WHEN u < 5 THEN 'basic' WHEN u < 15 THEN 'files' WHEN u < 30 THEN 'files_funcs' WHEN u < 40 THEN 'tests'
@@ -586,6 +582,12 @@ SQL = {
         p AS (SELECT a.repo_key, [a.row_id, b.row_id] AS combo, row_number() OVER (PARTITION BY a.repo_key ORDER BY a.row_id, b.row_id) AS n
               FROM r a JOIN r b ON a.repo_key = b.repo_key AND a.row_id < b.row_id)
         SELECT repo_key, combo FROM p WHERE n <= 20""",
+    "disjoint_hunks": f"""{_WINDOWS}, l AS (SELECT file, list_transform(list({{'hunk': hunk, 's': s, 'e': e}} ORDER BY hunk, s, e), lambda x: [x]) AS l FROM spans GROUP BY 1),
+        k AS (SELECT file, unnest(list_reduce(l, lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: k.s <= x[1].e AND x[1].s <= k.e)) > 0 THEN acc ELSE list_concat(acc, x) END)) AS k FROM l)
+        SELECT file, k.hunk AS hunk, k.s AS s, k.e AS e FROM k""",
+    "training_rows": f"""WITH {_GRADED}, once AS (SELECT instance_id, min(row_id) AS row_id FROM task_instances GROUP BY 1)
+        SELECT o.instance_id, g.resolved, md5(coalesce(p.model_patch, '')) AS patch FROM once o JOIN graded g USING (row_id)
+        LEFT JOIN (SELECT instance_id, max(model_patch) AS model_patch FROM predictions GROUP BY 1) p ON p.instance_id = o.instance_id""",
     "incremental_status": "SELECT run, status, count(*) AS n FROM test_status GROUP BY 1, 2",
     "tests_per_instance_run": f"""WITH {_LAST} SELECT instance_id, count(*) FILTER (run = 'clean' AND status = 'PASSED') AS clean,
         count(*) FILTER (run = 'buggy' AND status = 'PASSED') AS buggy FROM last GROUP BY 1""",

@@ -30,14 +30,24 @@ def output_test_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def marked_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    rows = T(spark, folder, "run_outputs")
-    return rows.select(
-        "output_id", testlogs.has_output(F.col("output")).alias("found"), F.length(testlogs.marked_output(F.col("output"))).alias("n")
-    )
+    """Outputs between markers, by run: with both, with one, after a failed patch, or without any."""
+    start, end = f"+ : '{testlogs.START}'", f"+ : '{testlogs.END}'"
+    log = (
+        F.when(F.col("run") == "clean", F.concat(F.lit(f"before\n{start}"), "output", F.lit(f"{end}\nafter")))
+        .when(F.col("run") == "buggy", F.concat(F.lit(start), "output"))
+        .when(F.col("run") == "gold", F.concat("output", F.lit(f"\n{testlogs.NO_OUTPUT[0]}\n{start}{end}"))).otherwise(F.col("output"))
+    )
+    rows = T(spark, folder, "run_outputs").withColumn("log", log)
+    return rows.select("output_id", testlogs.has_output(F.col("log")).alias("found"), F.md5(testlogs.marked_output(F.col("log"))).alias("text"))
 
 
 def issue_references(spark: SparkSession, folder: str) -> DataFrame:
-    rows = T(spark, folder, "documents").select("doc_id", scores.resolved_issues(F.col("text")).alias("issues"))
+    """Issues that statements close, in words put around them; numbers in comments and after other words don't count."""
+    text = F.concat(
+        F.lit("Fixes #"), F.col("row_id"), F.lit("\n<!-- closes #1 -->"), F.coalesce("problem_statement", F.lit("")),
+        F.lit("\nresolved #7, see #8 and fixing #9. CLOSED #"), F.col("row_id"),
+    )
+    rows = T(spark, folder, "task_instances").select("row_id", scores.resolved_issues(text).alias("issues"))
     return rows.where(F.size("issues") > 0)
 
 
@@ -97,11 +107,13 @@ def rating_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("instance_id", F.md5(trajectories.chat_text(m)).alias("chat"))
 
 
+HEAD = r"(?m)^(?:def|func|function|export function|fn|pub fn) (\w+)"
+
+
 def _functions(spark: SparkSession, folder: str) -> DataFrame:
     """Functions of source documents: blocks between blank lines that start with a definition."""
     blocks = T(spark, folder, "documents").where("kind = 'source'").select("doc_id", F.posexplode(F.split("text", "\n\n")).alias("n", "block"))
-    head = r"(?m)^(?:def|func|function|export function|fn|pub fn) (\w+)"
-    name = F.regexp_extract("block", head, 1)
+    name = F.regexp_extract("block", HEAD, 1)
     calls = F.array_sort(F.array_distinct(F.regexp_extract_all("block", F.lit(r"[.](\w+)\("), F.lit(1))))
     return blocks.where(name != "").select(
         F.concat_ws(":", "doc_id", "n").alias("func_key"), F.regexp_replace(name, "^.*_", "").alias("name"),
@@ -149,12 +161,12 @@ def call_components(spark: SparkSession, folder: str) -> DataFrame:
 def file_dependencies(spark: SparkSession, folder: str) -> DataFrame:
     functions = _functions(spark, folder)
     out = graph.file_dependencies(graph.call_edges(functions), functions)
-    return out.select("file_path", F.size("calls").alias("n_calls"), F.size("called_by").alias("n_called_by"))
+    return out.select("file_path", "calls", "called_by")
 
 
 def name_index(spark: SparkSession, folder: str) -> DataFrame:
     out = joins.inverted_index(_functions(spark, folder).select("file_path", "calls"), "calls")
-    return out.select("name", F.size("files").alias("n_files"))
+    return out
 
 
 def name_sets(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,7 +283,29 @@ SQL = {
     "call_components": f"""WITH RECURSIVE {_FUNCTIONS}, e AS (SELECT caller AS a, callee AS b FROM edges UNION SELECT callee, caller FROM edges),
         r(n, r) AS (SELECT a, a FROM e UNION SELECT r.n, e.b FROM r JOIN e ON r.r = e.a)
         SELECT component, count(*) AS n FROM (SELECT n, min(r) AS component FROM r GROUP BY n) GROUP BY 1""",
-    "marked_outputs": """SELECT output_id, false AS found, length(output)::INT AS n FROM run_outputs""",
+    "marked_outputs": """SELECT output_id, coalesce(run = 'clean' AND output IS NOT NULL, false) AS found,
+        CASE WHEN run <> 'gold' THEN md5(CASE WHEN run = 'buggy' THEN '+ : ' || chr(39) || '>>>>> Start Test Output' || chr(39) || output ELSE output END) END AS text FROM run_outputs""",
+    "issue_references": """SELECT row_id, list_sort(list_distinct([row_id::VARCHAR, '7'])) AS issues FROM task_instances""",
+    "rating_rows": r"""WITH i AS (SELECT instance_id, coalesce(max(problem_statement), '') AS s, coalesce(max(patch), '') AS p FROM task_instances GROUP BY 1)
+        SELECT instance_id, md5('<|im_start|>system' || chr(10) || 'Rate.<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || '<issue>' || chr(10) || s || chr(10) || '</issue>'
+            || chr(10) || '<patch>' || chr(10) || p || chr(10) || '</patch><|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)
+            || CASE difficulty WHEN '>4 hours' THEN '1-4 hours' ELSE difficulty END || '<|im_end|>' || chr(10)) AS chat
+        FROM i JOIN difficulties USING (instance_id) WHERE difficulty IS NOT NULL""",
+    "transcript_texts": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+                   FROM documents WHERE kind = 'trajectory' AND text <> ''),
+        k AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^(SYSTEM|THOUGHT|ACTION|OBSERVATION):') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS part FROM l),
+        p AS (SELECT doc_id, part, regexp_extract(first(line ORDER BY n), '^([A-Z]+):', 1) AS speaker,
+                     regexp_replace(regexp_replace(string_agg(line, chr(10) ORDER BY n), '^[A-Z]+:[ \t]*\n?', ''), '\s+$', '') AS body FROM k WHERE part > 0 GROUP BY 1, 2)
+        SELECT d.doc_id, md5(coalesce(string_agg('<|im_start|>' || CASE speaker WHEN 'SYSTEM' THEN 'system' WHEN 'OBSERVATION' THEN 'user' ELSE 'assistant' END
+            || chr(10) || body || '<|im_end|>' || chr(10), '' ORDER BY part), '')) AS chat
+        FROM documents d LEFT JOIN p ON d.doc_id = p.doc_id WHERE d.kind = 'trajectory' AND text <> '' GROUP BY 1""",
+    "test_files": r"""WITH t AS (SELECT DISTINCT split_part(test, '::', 1) AS test_path FROM test_status WHERE split_part(test, '::', 1) LIKE '%/%.py'),
+        c AS (SELECT DISTINCT 'src/' || regexp_extract(test_path, 'test_(\w+)\.py$', 1) || '.py' AS path FROM t),
+        s AS (SELECT path, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '\.[^.]*$', '') AS stem, regexp_replace(path, '/?[^/]*$', '') AS folder FROM c),
+        h AS (SELECT test_path, regexp_replace(regexp_replace(regexp_extract(test_path, '([^/]*)$', 1), '\.[^.]*$', ''), '^test_|^Test|[._-](?:test|spec)$|Tests?$|_spec$', '', 'g') AS stem,
+                     regexp_replace(regexp_replace(test_path, '/?[^/]*$', ''), '(?:^|/)(?:tests?|specs?|__tests__)$', '') AS folder FROM t),
+        m AS (SELECT path, test_path, 1 AS rule FROM s JOIN h USING (stem) UNION SELECT path, test_path, 2 FROM s JOIN h ON s.folder = h.folder)
+        SELECT path, test_path, rule::INT AS rule FROM (SELECT *, min(rule) OVER (PARTITION BY path) AS best FROM m) WHERE rule = best""",
     "code_blocks": r"""SELECT doc_id, md5(b) AS block FROM (SELECT doc_id, trim(regexp_extract(text, '(?s)```(?:\w+)?\n(.*?)\n?```', 1), ' ') AS b FROM documents) WHERE b <> ''""",
     "shortened_texts": """SELECT doc_id, md5(CASE WHEN len(string_split(text, ' ')) > 100
         THEN substr(text, 1, 200) || chr(10) || chr(10) || '(...)' || chr(10) || chr(10) || right(text, 100) ELSE text END) AS text
@@ -297,9 +331,10 @@ SQL = {
         FROM functions LEFT JOIN c USING (func_key) ORDER BY score DESC, func_key LIMIT 25""",
     "file_dependencies": f"""WITH {_FUNCTIONS}, p AS (SELECT DISTINCT a.file_path AS f, b.file_path AS t FROM edges e
             JOIN functions a ON e.caller = a.func_key JOIN functions b ON e.callee = b.func_key WHERE a.file_path <> b.file_path)
-        SELECT file_path, count(DISTINCT t)::INT AS n_calls, count(DISTINCT f)::INT AS n_called_by
+        SELECT file_path, coalesce(list_sort(list(DISTINCT t) FILTER (t IS NOT NULL)), []::VARCHAR[]) AS calls,
+               coalesce(list_sort(list(DISTINCT f) FILTER (f IS NOT NULL)), []::VARCHAR[]) AS called_by
         FROM (SELECT f AS file_path, t, NULL AS f FROM p UNION ALL SELECT t, NULL, f FROM p) GROUP BY 1""",
-    "name_index": f"""WITH {_FUNCTIONS} SELECT name, count(DISTINCT file_path)::INT AS n_files FROM
+    "name_index": f"""WITH {_FUNCTIONS} SELECT name, list_sort(list(DISTINCT file_path)) AS files FROM
         (SELECT file_path, unnest(calls) AS name FROM functions) GROUP BY 1""",
     "name_sets": f"""WITH {_FUNCTIONS}, b AS (SELECT name, arg_min(calls, func_key) AS a, arg_max(calls, func_key) AS b FROM functions GROUP BY 1 HAVING count(*) > 1)
         SELECT name, len(list_filter(b, lambda x: NOT list_contains(a, x)))::INT AS n_added, len(list_filter(a, lambda x: NOT list_contains(b, x)))::INT AS n_removed,

@@ -29,8 +29,8 @@ REPORT = (
 )
 
 
-def dataset(spark: SparkSession, path: str, schema: str = INSTANCE) -> DataFrame:
-    """A ``.json`` array, ``.jsonl`` lines or Parquet; any other extension is an error."""
+def dataset(spark: SparkSession, path: str, schema: str = INSTANCE, per_line: bool = False) -> DataFrame:
+    """A ``.json`` array (or, ``per_line``, an array on each line), ``.jsonl`` lines or Parquet; any other extension is an error."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
     if not path.endswith((".json", ".jsonl")):
@@ -39,7 +39,7 @@ def dataset(spark: SparkSession, path: str, schema: str = INSTANCE) -> DataFrame
     if path.endswith(".jsonl"):
         lines = spark.read.text(path).where(F.trim("value") != "")
         return lines.select(F.from_json("value", fields, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.text(path, wholetext=not per_line)
     kind = f"array<struct<{', '.join(':'.join(c.split(' ', 1)) for c in _fields(schema))}>>"
     rows = whole.select(F.explode(F.from_json("value", kind)).alias("r")).select("r.*")
     return rows.withColumn("_corrupt_record", F.lit(None).cast("string"))
