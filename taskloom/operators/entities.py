@@ -474,6 +474,25 @@ def mutated(src: str, ext: str, modifier: str, seed: int = 24, likelihood: float
     return None
 
 
+# How the line that starts a function or type is written, by extension, in the order in which they are tried.
+_FIRST_LINES = (
+    ("rs", r"(?:pub(?:\([^)]*\))? )?(?:async |unsafe )*fn \w+|impl\b.*\{"), ("go", r"func (?:\([^)]*\) )?\w+\("),
+    ("py", r"(?:async )?def \w+\(.*:$|class \w+(?:\(.*\))?:$"), ("php", r"<\?php"), ("rb", r"def (?:self\.)?\w+[?!]?(?:\([^)]*\))?$|module [A-Z]\w*$"),
+    ("ts", r"(?:export )?(?:async )?function \w+\([^)]*: .*\{$"), ("js", r"(?:export )?(?:default )?(?:async )?function\b"),
+    ("java", r"(?:public |private |protected )(?:static |final )*(?:class|interface|[\w<>\[\]]+ \w+\()"), ("cpp", r"\w[\w:<>*& ]* [\w:~]+\([^;]*\)(?: const)? \{$"),
+)
+
+
+def language_of(block: Column) -> Column:
+    """The extension of the language that a block of code is written in, by the first line of one of its functions or types;
+    null if none is known. C is taken for C++, and C# for Java, which they share such lines with."""
+    places = F.array(*(
+        F.struct(F.regexp_instr(block, F.lit(f"(?m)^(?:{line})")).alias("at"), F.lit(i).alias("i"), F.lit(ext).alias("ext"))
+        for i, (ext, line) in enumerate(_FIRST_LINES)
+    ))
+    return F.array_min(F.filter(places, lambda x: x["at"] > 0))["ext"]
+
+
 MUTATION_SCHEMA = "ext string, name string, line_start int, modifier string, explanation string, rewrite string, patch string"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import loglines, skew
 from ..session import spread, table
-from . import extra, rounds, tasks, texts
+from . import code, extra, rounds, tasks, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +35,11 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (p2_found, p2_repo_results, p5_found, p5_entries)
-    return {f.__name__: f for f in (*own, *tasks.QUERIES, *texts.QUERIES, *rounds.QUERIES, *extra.QUERIES)}
+    return {f.__name__: f for f in (*own, *tasks.QUERIES, *texts.QUERIES, *rounds.QUERIES, *extra.QUERIES, *code.QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return tasks.SQL | texts.SQL | rounds.SQL | extra.SQL | {
+    return tasks.SQL | texts.SQL | rounds.SQL | extra.SQL | code.SQL | {
         "p2_found": """
             SELECT repo FROM task_instances WHERE repo IS NOT NULL GROUP BY repo
             HAVING count(*) * 20 > (SELECT count(*) FROM task_instances)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import aggregates, combine, diffs, entities, graph, joins, scores, semantics, status, testlogs, trajectories, windows
+from ..operators import aggregates, combine, diffs, graph, joins, scores, semantics, status, testlogs, trajectories, windows
 from ..session import table
 
 T = table
@@ -197,21 +197,6 @@ def test_files(spark: SparkSession, folder: str) -> DataFrame:
     return joins.test_files_of(changed, tests)
 
 
-def source_entities(spark: SparkSession, folder: str) -> DataFrame:
-    rows = T(spark, folder, "documents").where("kind = 'source'")
-    return entities.entities(rows, ["doc_id"], "text", F.lit("py"))
-
-
-def modifier_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    found = joins.applicable(source_entities(spark, folder), entities.modifiers(spark))
-    return found.groupBy("modifier").agg(F.count(F.lit(1)).alias("n"))
-
-
-def mutated_entities(spark: SparkSession, folder: str) -> DataFrame:
-    rows = T(spark, folder, "documents").where("kind = 'source'")
-    return entities.mutations(rows, ["doc_id"], "text", F.lit("py"), seed=24)
-
-
 def semantic_changes(spark: SparkSession, folder: str) -> DataFrame:
     rows = semantics.semantic_changes(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
     return rows.groupBy("language", "kind", "change", "meaning").agg(F.count(F.lit(1)).alias("n"))
@@ -345,6 +330,6 @@ QUERIES = (
     log_parse_pytest, log_status_counts, output_test_rows, marked_outputs, issue_references, code_blocks, shortened_texts,
     line_contexts, section_lines, transcript_rows, transcript_texts, training_rows, rating_rows, call_edges, call_reach,
     call_hotspots, call_components, file_dependencies, name_index, name_sets, patch_similarity, test_files,
-    source_entities, modifier_candidates, mutated_entities, semantic_changes, change_reports, patch_languages, patch_problems,
+    semantic_changes, change_reports, patch_languages, patch_problems,
     test_nodes, static_statements, combined_patches,
 )
