@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
@@ -25,6 +25,13 @@ def patch_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row_id", F.md5(twice).alias("patch"))
 
 
+def hunk_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The change of every meaningful hunk, by its number among them, and the item that its own lines declare."""
+    rows = semantics.semantic_changes(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
+    number = F.row_number().over(Window.partitionBy("row_id").orderBy("file_no", "hunk_no")) - 1
+    return rows.select("row_id", number.alias("hunk"), "change", F.when(F.col("declared"), F.col("item")).alias("declared"))
+
+
 def task_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Task rows for groups of at most three changes of a patch, with their number and what they change."""
     hunks = diffs.patch_hunks(T(spark, folder, "task_instances").select("row_id", "patch"), ["row_id"])
@@ -206,9 +213,9 @@ def scan_reports(spark: SparkSession, folder: str) -> DataFrame:
 # --- SQL --------------------------------------------------------------------------------------------------
 
 #: Lines of every patch with their file, hunk, and whether they belong to a hunk's body.
-PARTS = r"""
+_PARTS = r"""
     raw AS (SELECT row_id, unnest(string_split(regexp_replace(patch, '\n$', ''), chr(10))) AS line,
-                   generate_subscripts(string_split(regexp_replace(patch, '\n$', ''), chr(10)), 1) AS n FROM task_instances WHERE patch <> ''),
+                   generate_subscripts(string_split(regexp_replace(patch, '\n$', ''), chr(10)), 1) AS n FROM {0} WHERE patch <> ''),
     filed AS (SELECT *, sum(CASE WHEN starts_with(line, 'diff --git a/') THEN 1 ELSE 0 END) OVER w AS f,
                      sum(CASE WHEN regexp_matches(line, '^@@ -\d+(,\d+)? \+\d+(,\d+)? @@') THEN 1 ELSE 0 END) OVER w AS h FROM raw WINDOW w AS (PARTITION BY row_id ORDER BY n)),
     marked AS (SELECT *, h > min(h) OVER (PARTITION BY row_id, f) AS inside, regexp_matches(line, '^@@ -\d+(,\d+)? \+\d+(,\d+)? @@') AS is_head FROM filed WHERE f > 0),
@@ -216,8 +223,17 @@ PARTS = r"""
     named AS (SELECT *, max(CASE WHEN NOT inside AND starts_with(line, '--- ') THEN substr(line, 5) END) OVER w AS was,
                      max(CASE WHEN NOT inside AND starts_with(line, '+++ ') THEN substr(line, 5) END) OVER w AS now,
                      max(CASE WHEN starts_with(line, 'diff --git a/') THEN regexp_extract(line, '^diff --git a/.*? b/(.*)$', 1) END) OVER w AS path
-              FROM counted WINDOW w AS (PARTITION BY row_id, f))
+              FROM counted WINDOW w AS (PARTITION BY row_id, f)),
+    body AS (SELECT row_id, h, count(*) FILTER (left(line, 1) <> '+') AS n_old, count(*) FILTER (left(line, 1) <> '-') AS n_new
+             FROM named WHERE inside AND NOT is_head AND left(line, 1) <> chr(92) GROUP BY 1, 2)
 """
+PARTS = _PARTS.replace("{0}", "task_instances")
+#: The same of the predictions' distinct patches, by their digest.
+GUESSED = _PARTS.replace("{0}", "(SELECT md5(model_patch) AS row_id, model_patch AS patch FROM (SELECT DISTINCT model_patch FROM predictions))")
+_WORD = r"([\pL_][\pL\pN_]*)"
+_DECLARED = f"""CASE language WHEN 'python' THEN regexp_extract(content, '^(\\s*)(?:async\\s+)?(def|class)\\s+{_WORD}', ['pad', 'word', 'name'])
+    WHEN 'rust' THEN regexp_extract(content, '^(\\s*)(?:(?:pub(?:\\([^)]*\\))?|async|unsafe|const|extern)\\s+)*(fn|struct|enum|trait|impl)\\s*(?:<[^>]*>\\s*)?\\b{_WORD}', ['pad', 'word', 'name'])
+    ELSE regexp_extract(content, '^(\\s*)(def|fn|func|function|class|struct|enum|trait|impl|interface)\\s+(?:\\([^)]*\\)\\s*)?{_WORD}', ['pad', 'word', 'name']) END"""
 _QUALITY = """
     q AS (SELECT row_id, patch AS p, coalesce(problem_statement, '') AS s,
                  (length(patch) - length(replace(patch, chr(10) || '-', ''))) // 2 + (length(patch) - length(replace(patch, chr(10) || '+', ''))) // 2 AS changed,
@@ -249,6 +265,27 @@ _SUMMARY = """SELECT instance_id, repo, md5(patch) AS patch, md5(problem_stateme
 _BOILERPLATE = ", ".join(f"'{n}'" for n in graph.BOILERPLATE)
 
 SQL = {
+    "patch_repaired": rf"""WITH {GUESSED} SELECT row_id AS patch_key, string_agg(CASE
+        WHEN is_head THEN regexp_replace(regexp_replace(whole, '^@@ -(\d+),\d+', '@@ -\1,' || coalesce(n_old, 0)), '^(@@ -\d+,\d+ \+\d+),\d+', '\1,' || coalesce(n_new, 0))
+        ELSE line END, chr(10) ORDER BY n) || chr(10) AS patch FROM named LEFT JOIN body USING (row_id, h) GROUP BY 1""",
+    "patch_problems": rf"""WITH {GUESSED}, bad AS (SELECT row_id, bool_or(regexp_extract(whole, '^@@ -\d+,(\d+)', 1)::INT <> coalesce(n_old, 0)
+            OR regexp_extract(whole, '\+\d+,(\d+)', 1)::INT <> coalesce(n_new, 0)) AS bad FROM named LEFT JOIN body USING (row_id, h) WHERE is_head GROUP BY 1)
+        SELECT CASE WHEN NOT starts_with(coalesce(model_patch, ''), 'diff --git') THEN 'no header' WHEN NOT contains(model_patch, '@@ -') THEN 'no hunks'
+               WHEN bad THEN 'hunk counts' END AS problem, count(*) AS n FROM predictions LEFT JOIN bad ON row_id = md5(model_patch) GROUP BY 1""",
+    "hunk_changes": rf"""WITH {PARTS}, l AS (SELECT row_id, f, h, n, left(line, 1) AS mark, CASE WHEN left(line, 1) IN ('+', '-', ' ') THEN substr(line, 2) ELSE line END AS content,
+                CASE lower(regexp_extract(path, '[.]([^./]+)$', 1)) WHEN 'py' THEN 'python' WHEN 'rs' THEN 'rust' ELSE 'general' END AS language,
+                was = '/dev/null' AS fresh, now = '/dev/null' AS gone FROM named WHERE inside AND NOT is_head AND line <> '' AND left(line, 1) <> chr(92)),
+        d AS (SELECT *, {_DECLARED} AS x FROM l),
+        i AS (SELECT row_id, h, side, n, x.name AS name, length(x.pad) AS pad, x.word NOT IN ('def', 'fn', 'func', 'function') AS is_type
+              FROM d, (VALUES (0), (1)) s(side) WHERE x.name <> '' AND mark <> CASE side WHEN 0 THEN '+' ELSE '-' END),
+        about AS (SELECT row_id, h, arg_min(name, (pad, side, is_type, n)) AS name FROM i GROUP BY 1, 2),
+        has AS (SELECT a.row_id, a.h, a.name, bool_or(i.side = 0) AS was, bool_or(i.side = 1) AS is_now FROM about a JOIN i ON a.row_id = i.row_id AND a.h = i.h AND a.name = i.name GROUP BY ALL),
+        t AS (SELECT row_id, f, h, bool_or(fresh) AS fresh, bool_or(gone) AS gone,
+                     coalesce(regexp_replace(string_agg(content, chr(10) ORDER BY n) FILTER (mark <> '+'), '^\s+|\s+$', '', 'g'), '') AS b,
+                     coalesce(regexp_replace(string_agg(content, chr(10) ORDER BY n) FILTER (mark <> '-'), '^\s+|\s+$', '', 'g'), '') AS a FROM l GROUP BY 1, 2, 3)
+        SELECT t.row_id, (dense_rank() OVER (PARTITION BY t.row_id ORDER BY t.h) - 1)::INT AS hunk, CASE WHEN was AND NOT is_now THEN 'removed' WHEN is_now AND NOT was THEN 'added'
+               WHEN coalesce(fresh, false) OR b = '' THEN 'added' WHEN coalesce(gone, false) OR a = '' THEN 'removed' ELSE 'modified' END AS change, has.name AS declared
+        FROM t LEFT JOIN has ON t.row_id = has.row_id AND t.h = has.h WHERE a <> b""",
     "patch_round_trip": f"""WITH {PARTS} SELECT row_id, md5(string_agg(CASE WHEN is_head THEN whole ELSE line END, chr(10) ORDER BY n) || chr(10)) AS patch FROM named GROUP BY 1""",
     "patch_inverted": rf"""WITH {PARTS} SELECT row_id, md5(string_agg(CASE
         WHEN is_head THEN regexp_replace(whole, '^@@ -(\d+,\d+) \+(\d+,\d+) @@', '@@ -\2 +\1 @@')
@@ -305,7 +342,7 @@ SQL = {
 }
 
 QUERIES = (
-    patch_round_trip, task_chunks, similarity_statistics, worst_similarities, accepted_similarities, pull_subset, accepted_qualities, function_targets,
+    patch_round_trip, hunk_changes, task_chunks, similarity_statistics, worst_similarities, accepted_similarities, pull_subset, accepted_qualities, function_targets,
     original_statements, first_responses, stage_failures, suffix_tests, nested_grades, union_once, *map(_styled, trajectories.STYLES), sft_training_set,
     scan_lines, scan_arrays, scan_predictions, scan_reports,
 )

@@ -28,7 +28,7 @@ def test_meaning_of_changes(after, change, item, meaning):
 
 def test_import_only():
     rows = list(semantics.changes(patch(BEFORE, BEFORE.replace("import os", "import sys"))))
-    assert rows[0][8] is True
+    assert rows[0][9] is True
     assert list(semantics.changes(None)) == []
 
 
@@ -173,7 +173,7 @@ def test_declared_items(text, lang, found):
 
 def test_a_touched_signature_decides_the_meaning():
     head = "diff --git a/m.rs b/m.rs\n--- a/m.rs\n+++ b/m.rs\n@@ -1,4 +1,4 @@ fn outer()\n"
-    of = lambda body, h=head: [r[4:8] + (r[9],) for r in semantics.changes(h + body)]
+    of = lambda body, h=head: [r[4:8] + (r[10],) for r in semantics.changes(h + body)]
     assert of(" fn f(\n-    a: u8,\n+    a: u16,\n ) {\n") == [("function", "modified", "f", "signature_change", True)]
     assert of(" fn f() {\n-    1\n+    2\n }\n") == [("function", "modified", "f", "body_change", False)]
     assert of("-    1\n+    2\n") == [("function", "modified", "outer", "body_change", False)]
