@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import hash_order
 from ..session import prepare
 from .diffs import Hunk, apply_to, parse, render
 
@@ -82,3 +83,47 @@ def combined(patches: DataFrame, group: str, size: int, most: int = 10, tries: i
         return pd.DataFrame({group: key, "members": pd.Series([m for m, _ in found], dtype=object), "patch": pd.Series([p for _, p in found], dtype=object)})
 
     return few.drop("r").groupBy(group).applyInPandas(run, f"`{group}` {kind}, members array<string>, patch string")
+
+
+#: Levels of composites: how many patches, and whether of one file (the fullest) or of as many files.
+LEVELS = {"medium": (2, True), "hard": (2, False), "expert": (3, False)}
+
+
+def composites(patches: DataFrame, group: str, level: str, n: int, seed: int = 24, least: int = 6) -> DataFrame:
+    """(group, members, patch): at most ``n`` composites of each group with ``least`` patches or more.
+
+    patches: group, file, name, patch. ``medium`` joins two patches of the file that has most, ``hard`` one of each of two
+    files, ``expert`` of three. Who meets whom goes by hash order in place of a random choice, so no patch is used twice.
+    A patch that doesn't fit those before it is left out, and a composite needs two that fit.
+    """
+    prepare(patches.sparkSession)
+    size, one_file = LEVELS[level]
+    rows = patches.where("patch <> ''").select(group, "file", "name", "patch")
+    enough = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= least).select(group)
+    rows = rows.join(enough, group, "left_semi").withColumn("o", hash_order(seed, F.col("name")))
+    if one_file:
+        counts = rows.groupBy(group, "file").agg(F.count(F.lit(1)).alias("c"))
+        fullest = counts.groupBy(group).agg(F.max_by("file", F.struct("c", "file")).alias("file"))
+        ranked = rows.join(fullest, [group, "file"]).withColumn("r", F.row_number().over(Window.partitionBy(group).orderBy("o", "name")))
+        placed = ranked.where(F.col("r") <= n * size).withColumn("no", F.floor((F.col("r") - 1) / size))
+    else:
+        turn = rows.withColumn("t", F.row_number().over(Window.partitionBy(group, "file").orderBy("o", "name"))).where(F.col("t") <= n)
+        ranked = turn.withColumn("r", F.row_number().over(Window.partitionBy(group, "t").orderBy("o", "file"))).where(F.col("r") <= n * size)
+        placed = ranked.withColumn("no", F.col("t") * n + F.floor((F.col("r") - 1) / size))
+    held = placed.groupBy(group, "no").agg(F.array_sort(F.collect_list(F.struct("o", "name", "patch"))).alias("m")).where(F.size("m") == size)
+    first = held.withColumn("r", F.row_number().over(Window.partitionBy(group).orderBy("no"))).where(F.col("r") <= n)
+
+    @F.pandas_udf("struct<members:array<string>,patch:string>")
+    def join(names: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for ns, ps in zip(names, texts, strict=True):
+            fit: list[int] = []
+            for i in range(len(ps)):
+                if merged([ps[k] for k in [*fit, i]]) is not None:
+                    fit.append(i)
+            whole = merged([ps[k] for k in fit]) if len(fit) > 1 else None
+            out.append(([ns[k] for k in fit] if whole else None, whole))
+        return pd.DataFrame(out, columns=["members", "patch"])
+
+    made = first.select(group, join(F.col("m.name"), F.col("m.patch")).alias("x"))
+    return made.where("x.patch is not null").select(group, "x.members", "x.patch")

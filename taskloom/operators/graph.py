@@ -183,3 +183,86 @@ def targets(functions: DataFrame, least: int = 50, enough: int = 80) -> DataFram
     size = F.length("body")
     plain = (F.col("name") != "") & ~F.col("name").rlike("^(?:get_|set_|is_|test_)") & ~F.col("name").isin(*BOILERPLATE)
     return functions.where(plain & (size >= least) & (F.contains("body", F.lit("async")) | (F.col("n_calls") > 0) | (size >= enough)))
+
+
+def betweenness(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """(node, score): the share of shortest paths from ``sources`` (node) through each node along edges (caller, callee),
+    summed over pairs and scaled as if every node were a source: exact if all are, else an estimate by sampled sources.
+
+    A search in levels from all sources at once: each level is a join of the last one with the edges, cut by a checkpoint,
+    so the state grows with sources times nodes reached, and the rounds with the longest shortest path. Then the levels
+    give their dependencies back, from the last to the first. Scores are divided by (n - 1)(n - 2); edges count once.
+    """
+    edges = cut(edges.select("caller", "callee").where("caller <> callee").distinct())
+    nodes = edges.select(F.col("caller").alias("node")).union(edges.select("callee")).distinct()
+    start = sources.select("node").distinct().join(nodes, "node", "left_semi")
+    levels = [cut(start.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("paths")))]
+    seen = levels[0].select("source", "node")
+    while True:
+        step = levels[-1].join(edges, F.col("node") == F.col("caller")).groupBy("source", F.col("callee").alias("node")).agg(F.sum("paths").alias("paths"))
+        level = cut(step.join(seen, ["source", "node"], "left_anti"))
+        if not level.limit(1).count():
+            break
+        levels.append(level)
+        seen = cut(seen.unionByName(level.select("source", "node")))
+    owed = levels[-1].select("source", "node", "paths", F.lit(0.0).alias("owed"))
+    parts = [owed]
+    for level in reversed(levels[:-1]):
+        given = owed.select("source", F.col("node").alias("callee"), ((1 + F.col("owed")) / F.col("paths")).alias("share"))
+        back = level.join(edges, F.col("node") == F.col("caller")).join(given, ["source", "callee"])
+        sums = back.groupBy("source", "node").agg(F.sum(F.col("paths") * F.col("share")).alias("owed"))
+        owed = cut(level.join(sums, ["source", "node"], "left").select("source", "node", "paths", F.coalesce("owed", F.lit(0.0)).alias("owed")))
+        parts.append(owed)
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    own = every.where("source <> node").groupBy("node").agg(F.sum("owed").alias("owed"))
+    n, k = nodes.count(), start.count()
+    scale = n / k / ((n - 1) * (n - 2)) if k and n > 2 else 0.0
+    return nodes.join(own, "node", "left").select("node", (F.coalesce("owed", F.lit(0.0)) * scale).alias("score"))
+
+
+def _modular(links: pd.DataFrame, total: int) -> list[set]:
+    """Communities of one component: the two whose union raises the modularity most are merged while any does."""
+    near: dict[str, dict[str, int]] = {}
+    for a, b in zip(links["a"], links["b"], strict=True):
+        near.setdefault(a, {})[b] = near.setdefault(b, {})[a] = 1
+    members = {n: {n} for n in near}
+    degree = {n: len(x) for n, x in near.items()}
+    while True:
+        gains = [(near[a][b] / total - degree[a] * degree[b] / (2 * total * total), a, b) for a in near for b in near[a] if a < b]
+        best = max(gains, key=lambda g: (g[0], [-ord(c) for c in g[1]], [-ord(c) for c in g[2]]), default=(0, "", ""))
+        if best[0] <= 1e-12:
+            return sorted(members.values(), key=lambda m: (-len(m), min(m)))
+        _, a, b = best
+        members[a] |= members.pop(b)
+        degree[a] += degree.pop(b)
+        for c, w in near.pop(b).items():
+            near[c].pop(b, None)
+            if c != a:
+                near[a][c] = near[c][a] = near[a].get(c, 0) + w
+
+
+def communities(edges: DataFrame, most_nodes: int = 500) -> DataFrame:
+    """(node, community, greedy): the communities of greedy modularity, each named after its least node.
+
+    Links (caller, callee) count once, in either direction. Merging two components never raises the modularity, so each
+    component is searched on its own, with the number of all links; one of more than ``most_nodes`` nodes stays whole, as
+    components are what clusters fall back to (``greedy`` false).
+    """
+    prepare(edges.sparkSession)
+    links = edges.where("caller <> callee").select(F.least("caller", "callee").alias("a"), F.greatest("caller", "callee").alias("b")).distinct()
+    links = cut(links)
+    total = links.count()
+    of = cut(components(links))
+    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    small = sizes.where(F.col("n") <= most_nodes).select("component")
+    own = links.join(of, F.col("a") == F.col("node")).select("component", "a", "b").join(small, "component")
+
+    def search(part: pd.DataFrame) -> pd.DataFrame:
+        rows = [(n, min(m)) for m in _modular(part, total) for n in sorted(m)]
+        return pd.DataFrame(rows, columns=["node", "community"])
+
+    found = own.groupBy("component").applyInPandas(search, "node string, community string").withColumn("greedy", F.lit(True))
+    whole = of.join(small, "component", "left_anti").select("node", F.col("component").alias("community"), F.lit(False).alias("greedy"))
+    return found.unionByName(whole)

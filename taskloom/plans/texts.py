@@ -158,6 +158,18 @@ def call_components(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
 
 
+def call_betweenness(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimated from 16 sources in hash order (the sample is the feature)."""
+    edges = graph.call_edges(_functions(spark, folder))
+    sources = windows.sample(edges.select(F.col("caller").alias("node")).distinct(), 16, 24, ["node"])
+    return graph.betweenness(edges, sources).select("node", F.round("score", 9).alias("score"))
+
+
+def call_communities(spark: SparkSession, folder: str) -> DataFrame:
+    found = graph.communities(graph.call_edges(_functions(spark, folder)))
+    return found.groupBy("community", "greedy").agg(F.count(F.lit(1)).alias("n"))
+
+
 def file_dependencies(spark: SparkSession, folder: str) -> DataFrame:
     functions = _functions(spark, folder)
     out = graph.file_dependencies(graph.call_edges(functions), functions)
@@ -234,6 +246,15 @@ def static_statements(spark: SparkSession, folder: str) -> DataFrame:
     return parts.select("row_id", F.md5(text).alias("statement"))
 
 
+def composite_patches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two patches of different modules of a repository, at most five a repository."""
+    rows = T(spark, folder, "task_instances").where("patch <> ''")
+    path = F.regexp_extract("patch", r"(?m)^diff --git a/(\S+)", 1)
+    named = rows.select(scalar.repo_part(F.col("instance_id")).alias("repo_key"), path.alias("file"), F.format_string("%09d", F.col("row_id")).alias("name"), "patch")
+    out = combine.composites(named, "repo_key", "hard", 5)
+    return out.select("repo_key", "members", F.md5("patch").alias("patch"))
+
+
 def combined_patches(spark: SparkSession, folder: str) -> DataFrame:
     rows = T(spark, folder, "task_instances").where("patch <> ''")
     named = rows.select(scalar.repo_part(F.col("instance_id")).alias("repo_key"), F.format_string("%09d", F.col("row_id")).alias("name"), "patch")
@@ -329,7 +350,7 @@ SQL = {
 QUERIES = (
     log_parse_pytest, log_status_counts, output_test_rows, marked_outputs, issue_references, code_blocks, shortened_texts,
     line_contexts, section_lines, transcript_rows, transcript_texts, training_rows, rating_rows, call_edges, call_reach,
-    call_hotspots, call_components, file_dependencies, name_index, name_sets, patch_similarity, test_files,
+    call_hotspots, call_components, call_betweenness, call_communities, file_dependencies, name_index, name_sets, patch_similarity, test_files,
     semantic_changes, change_reports, patch_languages, patch_problems,
-    test_nodes, static_statements, combined_patches,
+    test_nodes, static_statements, combined_patches, composite_patches,
 )

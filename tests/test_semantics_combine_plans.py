@@ -181,3 +181,24 @@ def test_a_touched_signature_decides_the_meaning():
     assert of("+fn g() {\n+}\n") == [("function", "added", "g", "addition", True)]
     assert of("-fn g() {\n+fn h() {\n") == [("function", "removed", "g", "deletion", True)]
     assert of("-x \n+x\n") == []
+
+
+def test_composites(spark):
+    text = "".join(f"line {i}\n" for i in range(60))
+    rows = []
+    for f in ("a.py", "b.py", "c.py", "d.py"):
+        for k in range(4 if f == "b.py" else 2):
+            at = 5 + 12 * k
+            rows.append(("g", f, f"{f}-{k}", diffs.unified(f, text, text.replace(f"line {at}\n", f"changed {at}\n"))))
+    rows += [("small", "a.py", f"s{i}", rows[0][3]) for i in range(5)] + [("g", "a.py", "empty", ""), ("g", "a.py", "none", None)]
+    t = spark.createDataFrame(rows, "g string, file string, name string, patch string")
+    for level, (size, one) in combine.LEVELS.items():
+        got = combine.composites(t, "g", level, 2).collect()
+        assert got and len(got) <= 2 and {r.g for r in got} == {"g"}
+        used = [m for r in got for m in r.members]
+        assert len(used) == len(set(used))
+        for r in got:
+            files = {m.split("-")[0] for m in r.members}
+            assert len(r.members) == size and (files == {"b.py"} if one else len(files) == size)
+            assert {d.new_path for d in diffs.parse(r.patch)} == files
+    assert combine.composites(t.limit(0), "g", "hard", 2).collect() == []

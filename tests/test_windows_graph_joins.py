@@ -173,3 +173,49 @@ def test_parts_and_chunks_follow_the_order(spark, at_once):
     parts = [r.part for r in windows.near_equal_parts(rows, 5, ["id"], at_once).orderBy("id").collect()]
     assert parts == [1, 1, 1, 2, 2, 2, 3, 3, 4, 4, 5, 5]
     assert [r.chunk for r in windows.chunks(rows, "g", ["id"], 5, at_once).orderBy("id").collect()] == [0] * 5 + [1] * 5 + [2] * 2
+
+
+def brute_betweenness(edges):
+    nodes, out = sorted({x for e in edges for x in e}), defaultdict(float)
+    near = defaultdict(set)
+    for a, b in edges:
+        if a != b:
+            near[a].add(b)
+    for s in nodes:
+        depth, paths, order = {s: 0}, defaultdict(int, {s: 1}), [s]
+        for v in order:
+            for w in near[v]:
+                if w not in depth:
+                    depth[w] = depth[v] + 1
+                    order.append(w)
+                if depth[w] == depth[v] + 1:
+                    paths[w] += paths[v]
+        owed = defaultdict(float)
+        for v in reversed(order):
+            for w in near[v]:
+                if depth[w] == depth[v] + 1:
+                    owed[v] += paths[v] / paths[w] * (1 + owed[w])
+            if v != s:
+                out[v] += owed[v]
+    n = len(nodes)
+    return {v: out[v] / ((n - 1) * (n - 2)) for v in nodes}
+
+
+def test_betweenness_equals_brute_force(spark):
+    rng = random.Random(3)
+    edges = [(f"n{rng.randrange(14):02}", f"n{rng.randrange(14):02}") for _ in range(30)]
+    table = spark.createDataFrame([*edges, edges[0]], "caller string, callee string")
+    every = spark.createDataFrame([(x,) for x in sorted({x for e in edges for x in e})], "node string")
+    got = {r.node: r.score for r in graph.betweenness(table, every).collect()}
+    want = brute_betweenness(edges)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_communities(spark):
+    clique = lambda names: [(a, b) for a in names for b in names if a < b]
+    edges = clique("abcd") + clique("efgh") + [("d", "e")] + [("x", "y"), ("y", "x")]
+    table = spark.createDataFrame(edges, "caller string, callee string")
+    got = {r.node: (r.community, r.greedy) for r in graph.communities(table).collect()}
+    assert got == {n: ("a", True) for n in "abcd"} | {n: ("e", True) for n in "efgh"} | {n: ("x", True) for n in "xy"}
+    large = {r.node: (r.community, r.greedy) for r in graph.communities(table, most_nodes=4).collect()}
+    assert large["h"] == ("a", False) and large["y"] == ("x", True)
