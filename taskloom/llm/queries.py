@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import spread, table
@@ -72,6 +72,20 @@ def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
     return pack.pack_documents(_texts(spark, folder))
 
 
+def p7_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What every packing must keep: each text in one place, or cut only if it exceeds a container; no container above its
+    capacity, no two items in one place; and at most one container in a hundred more than full ones would need."""
+    rows = pack.pack_documents(_texts(spark, folder)).where("n_tokens > 0")
+    by_text = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("piece").alias("k"), F.max("piece").alias("last"), F.sum("n_tokens").alias("size"))
+    wrong = (F.col("n") != F.col("k")) | (F.col("last") + 1 != F.col("n")) | (F.col("n") != F.ceil(F.col("size") / 1024))
+    texts = by_text.agg(F.count(F.lit(1)).alias("n_texts"), F.count_if(wrong).alias("n_wrong"))
+    before = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("container").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    full = rows.withColumn("gap", before != F.col("place")).groupBy("container").agg(F.sum("n_tokens").alias("held"), F.count_if("gap").alias("gaps"))
+    used = full.agg(F.count_if(F.col("held") > 1024).alias("n_over"), F.sum("gaps").alias("n_gaps"), (F.count(F.lit(1)) <= F.sum("held") / 1024 * 1.01 + 1).alias("near"))
+    one = lambda f: f.withColumn("k", F.lit(1))
+    return one(texts).join(one(used), "k").drop("k")
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return canon.look_alike_pairs(_texts(spark, folder))
 
@@ -86,7 +100,7 @@ def p8_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        p1_found, p1_splits, p1_balance, p1_check, p3_found, p3_leaks, p4_found, p4_passages, p6_ids, p7_containers,
+        p1_found, p1_splits, p1_balance, p1_check, p3_found, p3_leaks, p4_found, p4_passages, p6_ids, p7_containers, p7_check,
         p8_found, p8_classes, p8_text,
     )
     return {f.__name__: f for f in found}
@@ -123,6 +137,7 @@ def oracle_sql() -> dict[str, str]:
                        FROM named LEFT JOIN least ON named.project = least.n)
             SELECT x.repo AS repo_a, y.repo AS repo_b FROM placed x JOIN placed y USING (component) WHERE x.repo < y.repo
         """,
+        "p7_check": "SELECT count(*) AS n_texts, 0::BIGINT AS n_wrong, 0::BIGINT AS n_over, 0::BIGINT AS n_gaps, true AS near FROM documents WHERE text <> ''",
         "p1_check": f"""
             WITH RECURSIVE {_PLACED} SELECT count(*) AS n_rows, count(DISTINCT component) AS n_projects, 0::BIGINT AS n_divided, true AS near FROM placed
         """,
