@@ -213,9 +213,9 @@ class Index:
         both = np.unique(np.concatenate(found))
         return both // len(self.windows), both % len(self.windows)
 
-    def matches(self, texts: list[np.ndarray], block: int = 200_000) -> Iterator[tuple[int, int, int, int]]:
+    def matches(self, texts: list[np.ndarray], block: int = 20_000) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, least edits, windows of the text): every verified pair of a text, given by the codes of its
-        words, and an item."""
+        words, and an item. block: windows at once, as many as a processor's cache holds."""
         k, most = self.walks.window, self.walks.edits
         if not len(self.windows):
             return
@@ -226,7 +226,8 @@ class Index:
         hits = []
         for at in range(0, len(starts), block):
             part = starts[at : at + block]
-            spot, window = self.probe(codes, part)
+            low = part[0]  # words outside the block are not looked at
+            spot, window = self.probe(codes[low : part[-1] + k], part - low)
             for c in range(0, len(spot), block):
                 s, w = part[spot[c : c + block]], window[c : c + block]
                 edits = edit_distances(codes[s[:, None] + np.arange(k)], self.windows[w], most)
