@@ -182,11 +182,15 @@ def _labelled(s: Settings) -> dict[str, np.ndarray]:
     return out
 
 
-def _unlike(s: Settings):
-    """Which lines of a block resemble no labelled phrase, whatever the table holds."""
+def _marks(s: Settings) -> tuple[np.ndarray, np.ndarray, Settings]:
+    """Which letter n-grams labelled phrases hold, and which shape n-grams only slots hold; made once, by the driver."""
     found = _labelled(s)
-    known = (found["filler"] + found["notice"] + found["worded"] > 0).astype(np.float32)
-    mark = (found["mark"] > 0).astype(np.float32)
+    return (found["filler"] + found["notice"] + found["worded"] > 0).astype(np.float32), (found["mark"] > 0).astype(np.float32), s
+
+
+def _unlike(marks: tuple[np.ndarray, np.ndarray, Settings]):
+    """Which lines of a block resemble no labelled phrase, whatever the table holds."""
+    known, mark, s = marks
 
     def keep(block: _Block) -> np.ndarray:
         return (block.mean(known[block.grams[0]]) < s.known) & (block.most(1, mark[block.grams[1]], s.slot_window) < s.marks)
@@ -241,7 +245,7 @@ def prose_counts(statements: DataFrame, text: str, s: Settings) -> tuple[np.ndar
     lines that are residue under it are left out, all others counted."""
     spark = statements.sparkSession
     lines = _lines(statements, text)
-    first = Models(*_counts(lines, spark.sparkContext.broadcast((_unlike, s)), s), s)
+    first = Models(*_counts(lines, spark.sparkContext.broadcast((_unlike, _marks(s))), s), s)
     return _counts(lines, spark.sparkContext.broadcast((_unflagged, first)), s)
 
 
