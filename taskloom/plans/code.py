@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import diffs, entities, joins
-from ..session import table
+from ..session import spread, table
 from . import texts
 
 #: A function in each language, with ``@`` for its name: a condition with two sides, a loop, an assignment and arithmetic.
@@ -33,7 +33,7 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, n, block, ext): the blocks of source documents that define a function, by the language of its first line."""
     rows = table(spark, folder, "documents").where("kind = 'source'").select("doc_id", F.posexplode(F.split("text", r"\r?\n\r?\n")).alias("n", "block"))
     rows = rows.withColumn("block", F.regexp_replace("block", "(?m)^```.*$", ""))  # the fences of quoted code aren't code
-    return rows.withColumn("ext", entities.language_of(F.col("block"))).where("ext is not null")
+    return spread(rows.withColumn("ext", entities.language_of(F.col("block"))).where("ext is not null"))
 
 
 def source_entities(spark: SparkSession, folder: str) -> DataFrame:
