@@ -1,11 +1,13 @@
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from taskloom.functions import scalar
 from taskloom.operators import aggregates, graph, joins, windows
+from taskloom.plans import texts
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -219,3 +221,56 @@ def test_communities(spark):
     assert got == {n: ("a", True) for n in "abcd"} | {n: ("e", True) for n in "efgh"} | {n: ("x", True) for n in "xy"}
     large = {r.node: (r.community, r.greedy) for r in graph.communities(table, most_nodes=4).collect()}
     assert large["h"] == ("a", False) and large["y"] == ("x", True)
+
+
+def random_functions(spark, seed):
+    """Functions of few names, some with a key or a call repeated, of a null key or name, or that call themselves alone."""
+    rng = random.Random(seed)
+    rows = [(f"f{i:02}", rng.choice("abcdefgh"), [rng.choice("abcdefghz") for _ in range(rng.randrange(3))]) for i in range(30)]
+    rows += [(key, rng.choice("abcdefgh"), [rng.choice("abcdefgh")]) for key, *_ in rows[:6]]
+    rows += [("own", "own", ["own"]), (None, "a", ["b"]), ("none", None, ["a", None]), ("p", "p", ["p", "q"]), ("q", "q", []), ("r", "r", ["r"]), ("s", "r", [])]
+    rows += [(f"c{i}", f"c{i}", [f"c{i + 1}"]) for i in range(10)]
+    return spark.createDataFrame(rows, "func_key string, name string, calls array<string>")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks_hold_the_edges(spark, seed):
+    f = random_functions(spark, seed)
+    calls, held = ([tuple(r) for r in t.collect()] for t in graph.call_blocks(f))
+    edges = [(a, b) for a, x in calls for b, y in held if x == y and a != b]
+    want = {tuple(r) for r in graph.call_edges(f).collect()}
+    assert set(edges) == want and len(edges) == len(want)
+    assert {a for a, _ in calls} == {a for a, _ in want} and {b for b, _ in held} == {b for _, b in want}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_betweenness_by_blocks_equals_brute_force(spark, seed):
+    f = random_functions(spark, seed)
+    edges = [tuple(r) for r in graph.call_edges(f).collect()]
+    every = spark.createDataFrame([(x,) for x in sorted({x for e in edges for x in e})], "node string")
+    got = {r.node: r.score for r in graph.block_betweenness(*graph.call_blocks(f), every).collect()}
+    want = brute_betweenness(edges)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.fixture
+def many_of_a_name(spark, tmp_path):
+    """600 functions ``run`` that call ``stop`` and 600 ``stop`` that call ``run``: 720,000 edges of 1,200 calls."""
+    bodies = [f"def a_{x}(v):\n    v.{y}()\n" for x, y in (("run", "stop"), ("stop", "run"))]
+    rows = [(i, "\n\n".join(bodies * 20), "source") for i in range(30)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, kind string").coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def checkpointed(spark):
+    """MB in the folder of checkpoints, which this session doesn't clear."""
+    path = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return sum(p.stat().st_size for p in path.rglob("part-*")) / 1e6
+
+
+def test_betweenness_of_many_functions_of_a_name(spark, many_of_a_name):
+    before = checkpointed(spark)
+    got = [r.score for r in texts.call_betweenness(spark, many_of_a_name).collect()]
+    # From each of 16 sources: 600 of the other name in one step, the other 599 of its own in two, by way of any of the 600.
+    assert len(got) == 1200 and abs(sum(got) - 16 * 599 * 1200 / 16 / (1199 * 1198)) < 1e-5
+    assert checkpointed(spark) - before < 3
