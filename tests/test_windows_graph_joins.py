@@ -274,3 +274,22 @@ def test_betweenness_of_many_functions_of_a_name(spark, many_of_a_name):
     # From each of 16 sources: 600 of the other name in one step, the other 599 of its own in two, by way of any of the 600.
     assert len(got) == 1200 and abs(sum(got) - 16 * 599 * 1200 / 16 / (1199 * 1198)) < 1e-5
     assert checkpointed(spark) - before < 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_by_blocks_are_those_of_the_edges(spark, seed):
+    f = random_functions(spark, seed)
+    want = {tuple(r) for r in graph.components(graph.call_edges(f).toDF("a", "b")).collect()}
+    got = [tuple(r) for r in graph.block_components(*graph.call_blocks(f)).collect()]
+    assert set(got) == want and len(got) == len(want) and len({c for _, c in got}) > 1
+
+
+def test_components_of_many_functions_of_a_name(spark, many_of_a_name):
+    before = checkpointed(spark)
+    assert [tuple(r) for r in texts.call_components(spark, many_of_a_name).collect()] == [("0:0", 1200)]
+    assert checkpointed(spark) - before < 3
+
+
+def test_components_of_links_to_oneself(spark):
+    table = spark.createDataFrame([("x", "x"), ("y", "y")], "a string, b string")
+    assert {tuple(r) for r in graph.components(table).collect()} == {("x", "x"), ("y", "y")}
