@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,3 +294,24 @@ def test_components_of_many_functions_of_a_name(spark, many_of_a_name):
 def test_components_of_links_to_oneself(spark):
     table = spark.createDataFrame([("x", "x"), ("y", "y")], "a string, b string")
     assert {tuple(r) for r in graph.components(table).collect()} == {("x", "x"), ("y", "y")}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_communities_by_blocks_are_those_of_the_links(spark, seed):
+    f = random_functions(spark, seed)
+    links = {tuple(sorted(r)) for r in graph.call_edges(f).collect()}
+    of = {r.node: r.component for r in graph.components(spark.createDataFrame(sorted(links), "a string, b string")).collect()}
+    want = {}
+    for component in set(of.values()):
+        part = pd.DataFrame([x for x in sorted(links) if of[x[0]] == component], columns=["a", "b"])
+        want |= {n: (min(m), True) for m in graph._modular(part, len(links)) for n in m}
+    blocks = graph.call_blocks(f)
+    assert graph._n_links(*blocks) == len(links)
+    got = [(r.node, (r.community, r.greedy)) for r in graph.block_communities(*blocks).collect()]
+    assert dict(got) == want and len(got) == len(want)
+
+
+def test_communities_of_many_functions_of_a_name(spark, many_of_a_name):
+    before = checkpointed(spark)
+    assert [tuple(r) for r in texts.call_communities(spark, many_of_a_name).collect()] == [("0:0", False, 1200)]
+    assert checkpointed(spark) - before < 3
