@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from taskloom.functions import scalar
-from taskloom.operators import aggregates, graph, joins, windows
+from taskloom.operators import aggregates, graph, joins, modularity, windows
 from taskloom.plans import texts
 
 
@@ -311,6 +311,51 @@ def test_communities_by_blocks_are_those_of_the_links(spark, seed):
     assert dict(got) == want and len(got) == len(want)
 
 
+def listed(calls, held):
+    """The links of blocks, each once, as a frame (a, b)."""
+    links = {(min(a, b), max(a, b)) for a, x in calls for b, y in held if x == y and a != b}
+    return pd.DataFrame(sorted(links), columns=["a", "b"])
+
+
+def test_communities_of_components_of_any_size(spark):
+    rng = random.Random(5)
+    names = [f"n{i}" for i in range(150)]
+    rows = [(f"f{i}", rng.choice(names), [rng.choice(names), rng.choice(names)]) for i in range(600)]
+    rows += [("small:1", "small", []), ("small:10", "other", ["small"])]
+    blocks = graph.call_blocks(spark.createDataFrame(rows, "func_key string, name string, calls array<string>"))
+    links = listed(*([tuple(r) for r in t.collect()] for t in blocks))
+    want = {n: (min(m), True) for m in graph._modular(links, len(links)) for n in m}
+    got = [(r.node, (r.community, r.greedy)) for r in graph.block_communities(*blocks).collect()]
+    assert dict(got) == want and len(got) == len(want) > 500 and len(set(want.values())) < 100
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_search_of_communities_is_the_definition(monkeypatch, seed):
+    """Whatever the names, classes, calls of one's own block, rows kept and number of all links, beyond 64 bits of gain too."""
+    rng = random.Random(seed)
+    size, most = rng.choice([6, 20, 60]), rng.choice([2, 3, 5])
+    blocks = rng.choice([1, 3, 8, size])
+    keys = [f"{i}{rng.choice(['', ':1', ':10'])}" for i in range(size)]
+    calls = sorted({(k, rng.randrange(blocks)) for k in keys for _ in range(rng.randrange(most))})
+    held = [(k, rng.randrange(blocks)) for k in keys if rng.random() < 0.8]
+    links = listed(calls, held)
+    linked = {*links["a"], *links["b"]}
+    frames = [pd.DataFrame([x for x in rows if x[0] in linked], columns=["node", "block"]) for rows in (calls, held)]
+    total = len(links) + rng.choice([0, 7, 10**6, 10**15])
+    monkeypatch.setattr(modularity, "ROW_BYTES", rng.choice([0, 1 << 20]))
+    got = modularity.Search(*frames, total).run()
+    assert all(m[0] == min(m) for m in got)
+    assert sorted(map(sorted, got)) == sorted(map(sorted, graph._modular(links, total)))
+
+
+def test_communities_by_query_of_many_functions_of_a_name(spark, many_of_a_name):
+    before = checkpointed(spark)
+    got = texts.call_communities(spark, many_of_a_name).collect()
+    # Pairs of a ``run`` and a ``stop`` gain; two such pairs have as many links as by chance.
+    assert len(got) == 600 and {(r.greedy, r.n) for r in got} == {(True, 2)}
+    assert checkpointed(spark) - before < 3
+
+
 def test_communities_of_many_functions_of_a_name(spark, many_of_a_name):
     before = checkpointed(spark)
     assert [tuple(r) for r in texts.call_communities(spark, many_of_a_name).collect()] == [("0:0", False, 1200)]
